@@ -16,7 +16,8 @@ def top_n(df: DataFrame, partition: list[str] | str, order: list[Column], n: int
     """
     parts = [partition] if isinstance(partition, str) else list(partition)
     w = Window.partitionBy(*parts).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint")).where(F.col(rank_col) <= n)
+    ranked = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
+    return ranked.withColumn(rank_col, F.col("_rn").cast("bigint")).drop("_rn")
 
 
 def minmax_normalise(df: DataFrame, partition: str, value: str, out: str,
