@@ -30,3 +30,15 @@ def clip_affine(col: Column | str, lo: float = 0.0, hi: float = 1.0,
     """``a + b * clip(x, lo, hi)`` (content score → 1..5 rating)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.lit(a) + F.lit(b) * F.greatest(F.lit(lo), F.least(F.lit(hi), c))
+
+
+def round_half_away(col: Column | str, digits: int) -> Column:
+    """Round the binary value half away from zero (``round(x * 10^d) / 10^d``).
+
+    Spark's ``round`` rounds the shortest decimal text of a double HALF_UP, so
+    ``2.425`` becomes 2.43 although the double is just below 2.425; this form
+    rounds the binary value, as Python and most SQL engines do.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    k = float(10 ** digits)
+    return F.signum(c) * F.floor(F.abs(c) * F.lit(k) + F.lit(0.5)) / F.lit(k)

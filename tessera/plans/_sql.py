@@ -13,7 +13,7 @@ CATALOG = """cat AS (
   FROM part)"""
 
 RATINGS = """ratings AS (
-  SELECT o_custkey AS user_id, l_partkey AS item_id, CAST(ceil(l_quantity / 10) AS INTEGER) AS rating,
+  SELECT concat_ws('-', l_orderkey, l_linenumber) AS rid, o_custkey AS user_id, l_partkey AS item_id, CAST(ceil(l_quantity / 10) AS INTEGER) AS rating,
          o_orderdate AS ts
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 

@@ -9,6 +9,7 @@ from ..functions.scalar import md5_bucket, pick_by_index
 from ..operators import profile, ranking, splits
 from ..sources.tables import Tables, interactions
 from . import _sql as S
+from ..functions.scalar import round_half_away as rnd
 from . import register
 
 
@@ -30,7 +31,7 @@ SELECT user_id, item_id, round(sum({S.weight_case()} * {S.decay_expr()}), 6) AS
 FROM inter GROUP BY user_id, item_id""")
 def user_item_decay(spark, sf):
     return (profile.user_item_scores(_inter(spark, sf))
-            .select("user_id", "item_id", F.round("score", 6).alias("score")))
+            .select("user_id", "item_id", rnd("score", 6).alias("score")))
 
 
 TOP_ITEMS_SQL = f"""
@@ -45,7 +46,7 @@ WHERE rank <= 5"""
 def top_items(spark, sf, n: int = 5):
     """Top-n items per user by decayed engagement (ties: higher item id first)."""
     s = (profile.user_item_scores(_inter(spark, sf))
-         .select("user_id", "item_id", F.round("score", 6).alias("score")))
+         .select("user_id", "item_id", rnd("score", 6).alias("score")))
     return ranking.top_n(s, "user_id", [F.desc("score"), F.desc("item_id")], n) \
         .select("user_id", "item_id", "score", "rank")
 

@@ -10,6 +10,7 @@ from ..functions.text import RE_WS_RUN, remove_stop, stop_list_sql, word_tokens
 from ..operators import profile, ranking, recommend, similarity, splits, tfidf
 from ..sources.tables import Tables, catalog, interactions
 from . import _sql as S
+from ..functions.scalar import round_half_away as rnd
 from . import register
 
 FEATURES_SQL = f"""
@@ -77,7 +78,7 @@ def content_scores_q(spark, sf):
     cat = catalog(t.part)
     prof = profile.user_item_scores(interactions(t.events), catalog=cat)
     cs = recommend.content_scores(prof, recommend.content_features(cat))
-    return cs.select("user_id", "item_id", F.round("score", 6).alias("score"))
+    return cs.select("user_id", "item_id", rnd("score", 6).alias("score"))
 
 
 @register("minmax_scores", f"""
@@ -91,7 +92,7 @@ def minmax_scores(spark, sf):
     t = Tables(spark, sf)
     prof = profile.user_item_scores(interactions(t.events), catalog=catalog(t.part))
     out = ranking.minmax_normalise(prof, "user_id", "score", "norm_score")
-    return out.select("user_id", "item_id", F.round("norm_score", 6).alias("norm_score"))
+    return out.select("user_id", "item_id", rnd("norm_score", 6).alias("norm_score"))
 
 
 def _feed_sql(inter_cte: str, ref: str, users_sql: str) -> str:
@@ -131,7 +132,7 @@ def content_feed(inter, cat, n: int = 5, ref=None, users=None):
 def feed_content(spark, sf):
     t = Tables(spark, sf)
     feed = content_feed(interactions(t.events), catalog(t.part))
-    return feed.select("user_id", "item_id", F.round("value", 4).alias("score"), "rank")
+    return feed.select("user_id", "item_id", rnd("value", 4).alias("score"), "rank")
 
 
 @register("feed_impressions", "WITH " + _feed_sql(S.INTER, "(SELECT max(ts) FROM events)",
@@ -147,7 +148,7 @@ def feed_impressions(spark, sf):
     feed = content_feed(interactions(t.events), cat)
     names = [g for g, _, _ in AB_GROUPS]
     return (feed.join(cat.select("item_id", F.col("name").alias("title"), "category"), "item_id")
-            .select("user_id", "item_id", "rank", F.round("value", 4).alias("score"),
+            .select("user_id", "item_id", "rank", rnd("value", 4).alias("score"),
                     pick_by_index(names, md5_bucket("user_id", len(names))).alias("group_name"),
                     F.lit("content").alias("strategy"), "title", "category"))
 
@@ -163,7 +164,7 @@ def exclude_seen(spark, sf):
     prof = profile.user_item_scores(interactions(t.events), catalog=cat)
     cs = recommend.content_scores(prof, recommend.content_features(cat))
     return cs.join(prof.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti") \
-        .select("user_id", "item_id", F.round("score", 6).alias("score"))
+        .select("user_id", "item_id", rnd("score", 6).alias("score"))
 
 
 AB_SQL = f"""
@@ -209,8 +210,8 @@ def ab_eval_content(spark, sf):
     per_user = ab_evaluation(interactions(t.events), catalog(t.part))
     return (per_user.groupBy("group_name")
             .agg(F.count(F.lit(1)).alias("n_users"),
-                 F.round(F.avg("precision_at_k"), 6).alias("avg_precision_at_k"),
-                 F.round(F.avg("recall_at_k"), 6).alias("avg_recall_at_k"))
+                 rnd(F.avg("precision_at_k"), 6).alias("avg_precision_at_k"),
+                 rnd(F.avg("recall_at_k"), 6).alias("avg_recall_at_k"))
             .select("group_name", F.lit("content").alias("strategy"), "n_users",
                     "avg_precision_at_k", "avg_recall_at_k"))
 
@@ -310,7 +311,7 @@ def avg_by_tag(spark, sf):
             .where(F.col("tag") != "").distinct())
     r = ratings(t.orders, t.lineitem)
     return (r.join(tags, "item_id").groupBy("tag")
-            .agg(F.round(F.avg("rating"), 6).alias("avg_rating"), F.count(F.lit(1)).alias("n_ratings")))
+            .agg(rnd(F.avg("rating"), 6).alias("avg_rating"), F.count(F.lit(1)).alias("n_ratings")))
 
 
 @register("distinct_tags", f"""

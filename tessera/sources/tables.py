@@ -64,7 +64,9 @@ def catalog(part: DataFrame) -> DataFrame:
 
 
 def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Rating view: (user_id, item_id, rating 1..5, ts) from orders ⋈ lineitem.
+    """Rating view: (rid, user_id, item_id, rating 1..5, ts) from orders ⋈ lineitem.
+
+    ``rid`` ("orderkey-linenumber") identifies a rating row for hashing splits.
 
     Both sides are fact tables; the join shuffles on the order key (no broadcast),
     and only the four needed columns are read from parquet.
@@ -72,6 +74,7 @@ def ratings(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     o = orders.select(F.col("o_orderkey"), F.col("o_custkey").alias("user_id"),
                       F.col("o_orderdate").alias("ts"))
     li = lineitem.select(F.col("l_orderkey").alias("o_orderkey"),
+                         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("rid"),
                          F.col("l_partkey").alias("item_id"),
                          F.ceil(F.col("l_quantity") / 10).cast("int").alias("rating"))
-    return li.join(o, "o_orderkey").select("user_id", "item_id", "rating", "ts")
+    return li.join(o, "o_orderkey").select("rid", "user_id", "item_id", "rating", "ts")
