@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 def md5_bucket(col: Column | str, n: int) -> Column:
     """``int(md5(str(x)), 16) % n`` without 128-bit integers.
 
-    The 32 hex digits are folded left to right modulo ``n`` inside one
-    higher-order expression, so it stays in whole-stage codegen.
+    The digest is read as four 32-bit words and folded modulo ``n`` with plain
+    long arithmetic (Horner's rule; ``acc < n < 2^31`` so ``acc * 2^32 + w``
+    fits in a long), which stays inside whole-stage codegen.
     """
+    if not 0 < n < (1 << 31):
+        raise ValueError("n must be in [1, 2^31)")
     c = F.col(col) if isinstance(col, str) else col
     h = F.md5(c.cast("string"))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(32)), F.lit(0).cast("long"),
-        lambda acc, i: (acc * 16 + F.conv(F.substring(h, 1, 32).substr(i, F.lit(1)), 16, 10).cast("long")) % n,
-    )
+    acc = F.lit(0).cast("long")
+    for k in range(4):
+        word = F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("long")
+        acc = (acc * F.lit(1 << 32) + word) % F.lit(n)
+    return acc
 
 
 def pick_by_index(names: list[str], idx: Column) -> Column:

@@ -167,10 +167,12 @@ def stop_array(words=ENGLISH_STOP_WORDS) -> Column:
 
 
 def remove_stop(tokens: Column, words=ENGLISH_STOP_WORDS, min_len: int = 0) -> Column:
-    stop = stop_array(words)
+    """Drop stop words from a token array. ``isin`` over a literal list becomes a
+    hash-set lookup (InSet) in the optimizer, not a scan of the list per token."""
+    words = list(words)
     if min_len:
-        return F.filter(tokens, lambda x: ~F.array_contains(stop, x) & (F.length(x) > min_len))
-    return F.filter(tokens, lambda x: ~F.array_contains(stop, x))
+        return F.filter(tokens, lambda x: ~x.isin(words) & (F.length(x) > min_len))
+    return F.filter(tokens, lambda x: ~x.isin(words))
 
 
 def stop_list_sql(words=ENGLISH_STOP_WORDS) -> str:
