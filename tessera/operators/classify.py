@@ -119,7 +119,7 @@ def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: floa
     if kind == "svm":
         return OneVsRest(classifier=LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=max_iter,
                                               regParam=reg, standardization=False),
-                         featuresCol="features", labelCol="label_idx")
+                         featuresCol="features", labelCol="label_idx", parallelism=4)
     if kind == "forest":
         return RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=200,
                                       maxDepth=30, featureSubsetStrategy="sqrt", seed=seed)
