@@ -13,7 +13,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ("behaviour", "catalog", "ratings", "hybrid", "text", "features", "evaluation",
+MODULES = ("behaviour", "catalog", "ratings", "hybrid", "text", "evaluation",
            "conversation", "summary", "models")
 
 
@@ -31,11 +31,7 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     for m in MODULES:
-        try:
-            importlib.import_module(f"{__name__}.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"{__name__}.{m}":
-                raise
+        importlib.import_module(f"{__name__}.{m}")
 
 
 def all_queries() -> dict[str, QueryFn]:
