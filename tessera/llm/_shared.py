@@ -54,13 +54,19 @@ def once(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def runs(tokens: Column, size: int) -> Column:
+    """For every token the struct of it and the ``size - 1`` tokens after it, null past the
+    end. Unlike a lambda over positions this is compiled code; ``inline_outer`` makes
+    rows of it (the plain form has Catalyst infer a filter that computes the array twice)."""
+    parts = [tokens] + [F.slice(tokens, k + 1, F.size(tokens)) for k in range(1, size)]
+    return F.arrays_zip(*[p.alias(f"w{k}") for k, p in enumerate(parts)])
+
+
 def windows(tokens: Column, size: int, of) -> Column:
-    """``of([token columns])`` for every window of ``size`` tokens of an array; null where
-    there are fewer. Explode such arrays with ``explode_outer``: the plain form has
-    Catalyst infer a filter that computes the array a second time."""
+    """``of([tokens])`` for every window of ``size`` tokens; empty where there are fewer."""
     def body(t: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(t) - size)
-        return F.when(F.size(t) >= size, F.transform(at, lambda i: of([F.get(t, i + k) for k in range(size)])))
+        every = F.transform(t, lambda x, i: of([x] + [F.get(t, i + k) for k in range(1, size)]))
+        return F.slice(every, F.lit(1), F.greatest(F.size(t) - size + 1, F.lit(0)))
 
     return once(tokens, body)
 

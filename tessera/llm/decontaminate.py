@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import broadcast_if_small, fresh, materialize, windows
+from ._shared import broadcast_if_small, fresh, materialize, runs, windows
 
 SIZE = 5
 SHARE = 0.8
@@ -42,19 +42,12 @@ def tokens_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
 
 
-def _per_shingle(tokens: str, of, kind: str) -> Column:
-    """``of`` for the windows of the token array, or for the whole shorter sequence."""
-    t = F.col(tokens)
-    short = F.when(F.size(t) > 0, F.array(of([F.array_join(t, " ")])))
-    return F.coalesce(windows(t, SIZE, of), short, F.array().cast(f"array<{kind}>"))
-
-
-def hashes(tokens: str = "t") -> Column:
-    return _per_shingle(tokens, lambda w: F.xxhash64(*w), "long")
-
-
 def strings(tokens: str = "t") -> Column:
-    return _per_shingle(tokens, lambda w: F.concat_ws(" ", *w), "string")
+    """The shingles of a token array: its windows, or the whole shorter sequence."""
+    t = F.col(tokens)
+    joined = lambda w: F.concat_ws(" ", *w)
+    return F.when(F.size(t) >= SIZE, windows(t, SIZE, joined)).when(
+        F.size(t) > 0, F.array(F.array_join(t, " "))).otherwise(F.array().cast("array<string>"))
 
 
 def item_shingles(items: DataFrame, share: float = SHARE) -> DataFrame:
@@ -65,8 +58,8 @@ def item_shingles(items: DataFrame, share: float = SHARE) -> DataFrame:
     top = F.pow(F.lit(2), F.floor(F.log2(n)) + 1).cast("int") - 1  # the partition's largest size
     needs = lambda size: F.ceil(F.lit(share) * size - 1e-9).cast("int")
     return (items.where("item IS NOT NULL").select("item", tokens_of(F.col("text")).alias("t"))
-            .select("item", F.xxhash64("t").alias("v"),
-                    F.arrays_zip(hashes().alias("h"), strings().alias("s")).alias("hs"))
+            .select("item", F.xxhash64("t").alias("v"), F.transform(strings(), lambda s: F.struct(
+                F.xxhash64(F.split(s, " ")).alias("h"), s.alias("s"))).alias("hs"))
             .dropDuplicates(["item", "v"])
             .select("item", "v", F.array_sort(F.array_distinct("hs")).alias("hs"))
             .select("item", "v", n.alias("n"), needs(n).alias("need"), (top - needs(top) + 1).alias("keep"),
@@ -77,8 +70,12 @@ def item_shingles(items: DataFrame, share: float = SHARE) -> DataFrame:
 def candidates(docs: DataFrame, shingles: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc, item, v): the document has a hash of the item's sketch and shingles enough."""
     probes = broadcast_if_small(shingles.where("probe").select("h", "item", "v", "need"), broadcast_rows)
-    each = (docs.select("doc", tokens_of(F.col("text")).alias("t")).select("doc", hashes().alias("hs"))
-            .select("doc", F.size("hs").alias("size"), F.explode_outer("hs").alias("h")).where("h IS NOT NULL"))
+    t = F.col("t")
+    each = (docs.select("doc", tokens_of(F.col("text")).alias("t"))
+            .select("doc", F.size(t).alias("size"), F.inline_outer(runs(t, SIZE)))
+            .where(F.col(f"w{SIZE - 1}").isNotNull() | ((F.col("size") < SIZE) & F.col("w0").isNotNull()))
+            .select("doc", F.greatest(F.col("size") - SIZE + 1, F.lit(1)).alias("size"),
+                    F.xxhash64(*[f"w{k}" for k in range(SIZE)]).alias("h")))
     return each.join(probes, "h").where("size >= need").select("doc", "item", "v").distinct()
 
 

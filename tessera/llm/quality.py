@@ -8,9 +8,9 @@ like the raw corpus, so with few or no trusted texts the ratio goes to 0 and rej
 nothing. A document's score is the mean log ratio of its n-grams (length-normalised);
 every document is held against the same fixed threshold, no draw is involved.
 
-Everything is Spark SQL expressions. Scoring is local to the row: the table of
-``buckets`` log ratios (a size fixed by a parameter) goes into the plan as a literal, and
-no document is shuffled.
+Everything is Spark SQL expressions. The table of ``buckets`` log ratios (a size fixed by a
+parameter) is a scalar subquery's value; a document's n-grams become rows whose sum is
+taken in the same task, so only one row of numbers for each document is shuffled.
 
 Edge cases: null and empty texts have zero words and fail the base rules; a text with fewer
 than five words has no window; a text of one word has a score from that word; rows are
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import NOT_SPACE, broadcast_if_small, once, windows, words
+from ._shared import NOT_SPACE, broadcast_if_small, once, runs, windows, words
 
 BUCKETS = 1 << 15
 PRIOR = 1 << 15
@@ -41,13 +41,13 @@ def _covered(hashes: str) -> Column:
     """Words in windows found twice or more: the windows' positions in order of hash
     show the repeated ones; between neighbours among these, at most WINDOW words count."""
     h = F.col(hashes)
-    by_hash = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    by_hash = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
     def repeated(s: Column) -> Column:
         same = lambda k, d: F.get(s, k)["h"] == F.get(s, k + d)["h"]
         keep = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
                         lambda k: F.coalesce(same(k, -1), F.lit(False)) | F.coalesce(same(k, 1), F.lit(False)))
-        return F.array_sort(F.transform(keep, lambda k: F.get(s, k)["i"]))
+        return F.sort_array(F.transform(keep, lambda k: F.get(s, k)["i"]))
 
     def cover(at: Column) -> Column:
         step = F.transform(at, lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get(at, k + 1) - p, F.lit(WINDOW))))
@@ -67,17 +67,19 @@ def base_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(windows(F.col("w"), WINDOW, lambda t: F.xxhash64(*t)), F.array().cast("array<long>")).alias("h"))
+        windows(F.col("w"), WINDOW, lambda w: F.xxhash64(*w)).alias("h"))
     return (counted.withColumn("n_repeat_words", _covered("h")).drop("h")
             .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))))
 
 
-def grams(w: str, buckets: int) -> Column:
-    """The buckets of all words and word pairs of the array column ``w``."""
-    one = F.transform(F.col(w), lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int"))
-    two = windows(F.col(w), 2, lambda t: F.pmod(F.xxhash64(*t), F.lit(buckets)).cast("int"))
-    return F.concat(one, F.coalesce(two, F.array().cast("array<int>")))
+def _grams(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
+    """``keep`` and, for every word of the array column ``w``, the buckets ``one`` of the word and
+    ``two`` of it and the next (null for the last); a row of nulls where there is no word."""
+    hashed = lambda *c: F.pmod(F.xxhash64(*c), F.lit(buckets)).cast("int")
+    return docs.select(*keep, F.inline_outer(runs(F.col("w"), 2))).select(
+        *keep, F.when(F.col("w0").isNotNull(), hashed("w0")).alias("one"),
+        F.when(F.col("w1").isNotNull(), hashed("w0", "w1")).alias("two"))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> list[float]:
@@ -85,8 +87,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prio
     the target. What reaches the driver is one row a bucket."""
     mark = broadcast_if_small(trusted.select("doc").where("doc IS NOT NULL").distinct()
                               .withColumn("trusted", F.lit(1)))
-    counts = (docs.join(mark, "doc", "left").select("trusted", words(F.col("text")).alias("w"))
-              .select("trusted", F.explode_outer(grams("w", buckets)).alias("bucket")).where("bucket IS NOT NULL")
+    split = docs.join(mark, "doc", "left").select("trusted", words(F.col("text")).alias("w"))
+    counts = (_grams(split, ["trusted"], buckets)
+              .select("trusted", F.explode_outer(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))).collect()
     all_raw, all_good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
     ratios = [0.0] * buckets
@@ -102,9 +105,15 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     the ids of the target's documents in ``id_col``."""
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     ratios = log_ratios(docs, trusted.select(F.col(id_col).alias("doc")), buckets, prior)
-    by_bucket = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    scored = base_counts(docs, ["doc"]).withColumn("g", grams("w", buckets))
-    score = F.aggregate("g", F.lit(0.0), lambda a, b: a + F.get(by_bucket, b)) / F.greatest(F.size("g"), F.lit(1))
-    return (scored.withColumn("score", score)
-            .select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score"))
+    # a scalar subquery, not a literal: Spark holds its value as one block of doubles
+    by_bucket = docs.sparkSession.range(1).select(F.from_json(F.lit(json.dumps(ratios)), "array<double>")).scalar()
+    ratio = lambda b: F.coalesce(F.get(by_bucket, F.col(b)), F.lit(0.0))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    counted = base_counts(docs, ["doc"]).withColumn("row", F.monotonically_increasing_id())
+    n = F.greatest(2 * F.col("n_words") - 1, F.lit(1))  # words and pairs
+    # a task sees all n-grams of a row, so its partial sums are one for each row
+    score = F.sum(ratio("one") + ratio("two")) / F.first(n)
+    return (_grams(counted, ["row", "doc", *base], buckets).groupBy("row", "doc")
+            .agg(*[F.first(c).alias(c) for c in base], score.alias("score"))
+            .select(F.col("doc").alias(id_col), *base,
+                    (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score"))
