@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._shared import NOT_SPACE, broadcast_if_small, fresh, materialize
+from ._shared import NOT_SPACE, broadcast_if_small, fresh, materialize, once
 
 MIN_WORDS = 10
 BROADCAST_ROWS = 1_000_000
@@ -54,6 +54,16 @@ def _lines(docs: DataFrame) -> DataFrame:
             .where(F.col("text").rlike(NOT_SPACE)))
 
 
+def _texts_of(docs: DataFrame, places: DataFrame, broadcast_rows: int) -> DataFrame:
+    """(place, text) of the given places, each once; other documents are not cut into lines."""
+    wanted = materialize(places.groupBy("doc", "version").agg(F.collect_list("line").alias("wanted")), "near-docs")
+    some = (docs.where("doc IS NOT NULL AND text IS NOT NULL").withColumn("version", F.xxhash64("text"))
+            .join(broadcast_if_small(wanted, broadcast_rows), ["doc", "version"]))
+    lines = once(F.split("text", "\n", -1), lambda t: F.transform(
+        "wanted", lambda i: F.struct(i.alias("line"), F.get(t, i).alias("text"))))
+    return some.select("doc", "version", F.inline_outer(lines)).select(*PLACE, "text").dropDuplicates(list(PLACE))
+
+
 def _halves(line: Column, min_words: int) -> Column:
     """Hashes of the line's first and last h words, for h half its words and half its
     words without one (the half of a partner that is one word shorter)."""
@@ -64,7 +74,8 @@ def _halves(line: Column, min_words: int) -> Column:
         first = F.call_function("substring_index", line, F.lit(" "), h)
         last = F.call_function("substring_index", line, F.lit(" "), -h)
         return [F.xxhash64(F.lit(1), h, first), F.xxhash64(F.lit(2), h, last)]
-    return F.when(n >= min_words, F.array_distinct(F.array(*half(F.floor(n / 2)), *half(F.floor((n - 1) / 2)))))
+    own, less = half(F.floor(n / 2)), half(F.floor(n / 2) - 1)  # a partner one word shorter has this half
+    return F.when(n >= min_words, F.when(n % 2 == 0, F.array(*own, *less)).otherwise(F.array(*own)))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -125,8 +136,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_wo
     halves = distinct.select("first", F.explode("halves").alias("half"))
     shared = materialize(halves.groupBy("half").count().where("count > 1").select("half"), "shared-halves")
     near = halves.join(broadcast_if_small(shared, broadcast_rows), "half", "left_semi").select("first.*").distinct()
-    near = broadcast_if_small(materialize(near, "near-lines"), broadcast_rows)
-    texts = materialize(lines.join(near, list(PLACE), "left_semi").dropDuplicates(list(PLACE)), "near-texts")
+    texts = materialize(_texts_of(docs, materialize(near, "near-lines"), broadcast_rows), "near-texts")
 
     links = _verified(_links(materialize(_variants(texts), "variants")).distinct(), texts)
     early = links.groupBy(F.col("late").alias("first")).agg(F.min("early").alias("early"))
