@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+# functions of this subpackage go to the tasks by value, so executors needn't have it installed
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 #: One separator run: space and the characters \x09 to \x0D, no other white space.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"

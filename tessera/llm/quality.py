@@ -30,7 +30,7 @@ from ._shared import NOT_SPACE, broadcast_if_small, once, runs, windows, words
 
 BUCKETS = 1 << 15
 PRIOR = 1 << 15
-THRESHOLD = -0.5
+THRESHOLD = -0.25
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
