@@ -10,8 +10,8 @@ Links. The distinct fingerprints, each with its smallest document id, are joined
 
 * Partition. With ``blocks`` disjoint bit blocks, at most ``distance`` of them differ in
   a linked pair, so it agrees in ``blocks - distance`` of them: one key for each such
-  choice of blocks. ``blocks`` grows with the number of fingerprints, which keeps the
-  expected group of unrelated fingerprints small. (A partition by the pivots alone can't:
+  choice of blocks. ``blocks_for`` tells how many keep groups of unrelated fingerprints
+  small; any number gives the same links. (A partition by the pivots alone can't do this:
   one pivot's distance lets 57 % of unrelated pairs pass, whatever the cell.)
 * Pivot table. The Hamming distances to ``PIVOTS`` reference fingerprints are computed
   once for each row. By the triangle inequality a linked pair differs by at most
@@ -47,6 +47,7 @@ from ._shared import broadcast_if_small, fresh, materialize
 SIZE = 4
 DISTANCE = 4
 PIVOTS = 24
+BLOCKS = 6  # 15 keys of 21 bits: for some hundred millions of fingerprints
 CHUNK = 1024
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _PAIRS = 1 << 21  # squares of group sizes that a task compares at once
@@ -83,10 +84,11 @@ def pivots() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"pivot-{k}") for k in range(PIVOTS)], np.uint64)
 
 
-def _blocks_for(n: int, distance: int) -> int:
-    """The fewest blocks for which unrelated fingerprints meet in groups of 32 or fewer."""
+def blocks_for(n: int, distance: int = DISTANCE, group: int = 512) -> int:
+    """The fewest blocks for which ``n`` unrelated fingerprints meet in groups of ``group`` or
+    fewer: a parameter to choose, as more blocks mean more keys a fingerprint."""
     blocks = distance + 1
-    while n / 2 ** (64 * (blocks - distance) / blocks) > 32 and blocks < distance + 6:
+    while n / 2 ** (64 * (blocks - distance) / blocks) > group and blocks < distance + 6:
         blocks += 1
     return blocks
 
@@ -113,7 +115,7 @@ def _groups(distinct: DataFrame, blocks: int, distance: int, chunk: int) -> Data
     cut = (keyed.join(broadcast_if_small(large), key, "left")
            .select(*key, "fp", F.coalesce("chunks", F.lit(1)).alias("chunks"))
            .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")))
-    return (cut.select(*key, "fp", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    return (cut.select(*key, "fp", "own", F.explode_outer(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
             .select(*key, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "fp"))
 
@@ -144,10 +146,9 @@ def _linked(fp: np.ndarray, run: np.ndarray, side: np.ndarray, cross: np.ndarray
     return fp[own], fp[label[own]]
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK, blocks: int | None = None) -> DataFrame:
+def links(distinct: DataFrame, distance: int = DISTANCE, chunk: int = CHUNK, blocks: int = BLOCKS) -> DataFrame:
     """(a, b): edges between the fingerprints of ``distinct`` (fp, each once) that connect all
     pairs within ``distance`` bits. Each group gives a forest, not its pairs."""
-    blocks = blocks or _blocks_for(distinct.count(), distance)
     key, refs = ["choice", "bits", "lo", "hi"], pivots()
     dealt = _groups(distinct, blocks, distance, chunk).repartition(*key).sortWithinPartitions(*key)
 
@@ -213,7 +214,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-               distance: int = DISTANCE, chunk: int = CHUNK, blocks: int | None = None) -> DataFrame:
+               distance: int = DISTANCE, chunk: int = CHUNK, blocks: int = BLOCKS) -> DataFrame:
     """(id, fingerprint hex, component_id) for every row of ``docs``."""
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     fps = materialize(fingerprints(docs, size), "simhash")

@@ -95,7 +95,7 @@ def test_agrees_with_the_library_lattice(pieces):
     other = library.SentencePieceProcessor(model_proto=proto.SerializeToString())
     for t in ["the", "that is the one", "Hello world, here", "ndonre the.", "other things and more of it"]:
         ids, _ = sp.encode_texts(pieces, [t])
-        assert ids.tolist() == other.nbest_encode(t, nbest_size=1)[0]
+        assert ids.tolist() == other.nbest_encode(t, nbest_size=2)[0]
     for t in TEXTS:
         ids = other.encode(t)
         assert sp.decode_ids(pieces, ids) == other.decode(ids)
