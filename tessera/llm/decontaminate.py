@@ -72,7 +72,8 @@ def candidates(docs: DataFrame, shingles: DataFrame, broadcast_rows: int = BROAD
     probes = broadcast_if_small(shingles.where("probe").select("h", "item", "v", "need"), broadcast_rows)
     t = F.col("t")
     each = (docs.select("doc", tokens_of(F.col("text")).alias("t"))
-            .select("doc", F.size(t).alias("size"), F.inline_outer(runs(t, SIZE)))
+            .select("doc", F.size(t).alias("size"), runs(t, SIZE).alias("runs"))
+            .select("doc", "size", F.inline_outer("runs"))
             .where(F.col(f"w{SIZE - 1}").isNotNull() | ((F.col("size") < SIZE) & F.col("w0").isNotNull()))
             .select("doc", F.greatest(F.col("size") - SIZE + 1, F.lit(1)).alias("size"),
                     F.xxhash64(*[f"w{k}" for k in range(SIZE)]).alias("h")))
@@ -89,7 +90,8 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str
     pairs = materialize(candidates(docs, shingles, broadcast_rows), "bench-candidates")
     some = docs.join(broadcast_if_small(pairs.select("doc").distinct(), broadcast_rows), "doc", "left_semi")
     each = (some.select("doc", tokens_of(F.col("text")).alias("t"))
-            .select("doc", F.xxhash64("t").alias("w"), F.explode_outer(F.array_distinct(strings())).alias("s")).where("s IS NOT NULL"))
+            .select("doc", F.xxhash64("t").alias("w"), F.array_distinct(strings()).alias("ss"))
+            .select("doc", "w", F.explode_outer("ss").alias("s")).where("s IS NOT NULL"))
     known = broadcast_if_small(shingles.select("s", "item", "v", "n", "need"), broadcast_rows)
     shared = (each.join(known, "s").groupBy("doc", "w", "item", "v", "n", "need").agg(F.countDistinct("s").alias("m"))
               .where("m >= need").join(pairs, ["doc", "item", "v"], "left_semi"))

@@ -50,7 +50,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     repeated id apart."""
     lines = F.split("text", "\n", -1)
     return (docs.where("doc IS NOT NULL AND text IS NOT NULL")
-            .select("doc", F.xxhash64("text").alias("version"), F.posexplode_outer(lines).alias("line", "text"))
+            .select("doc", F.xxhash64("text").alias("version"), lines.alias("lines"))
+            .select("doc", "version", F.posexplode_outer("lines").alias("line", "text"))
             .where(F.col("text").rlike(NOT_SPACE)))
 
 
@@ -82,7 +83,9 @@ def _variants(lines: DataFrame) -> DataFrame:
     """(place, variant, at) for lines (place, text), each place once: ``at`` is the position
     left out, 0 for the whole line."""
     words = F.split("text", " ", -1)
-    each = (lines.repartition(*PLACE).select(*PLACE, F.size(words).alias("n"), F.posexplode_outer(words).alias("i", "w"))
+    # what stands beside an explode is computed for every row of it, so ``n`` comes before
+    each = (lines.repartition(*PLACE).select(*PLACE, F.size(words).alias("n"), words.alias("ws"))
+            .select(*PLACE, "n", F.posexplode_outer("ws").alias("i", "w"))
             .select(*PLACE, "n", (F.col("i") + 1).alias("at"),
                     F.xxhash64("w", F.col("i") + 1).alias("here"), F.xxhash64("w", "i").alias("moved")))
     line = Window.partitionBy(*PLACE).orderBy("at")

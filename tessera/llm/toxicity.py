@@ -218,7 +218,8 @@ def _terms(sample: DataFrame, least: int = 6, min_log_odds: float = 1.5) -> Term
     parts = F.array(F.struct(F.lit(0).alias("n"), word.alias("term")),
                     *[F.when(F.length(word) >= n, F.struct(F.lit(n).alias("n"), F.substring(word, 1, n).alias("term")))
                       for n in PREFIXES])
-    keyed = (sample.select("label", F.xxhash64("text").alias("d"), F.explode_outer(F.array_distinct(low)).alias("w"))
+    keyed = (sample.select("label", F.xxhash64("text").alias("d"), F.array_distinct(low).alias("ws"))
+             .select("label", "d", F.explode_outer("ws").alias("w"))
              .where("w <> ''").select("label", "d", F.explode_outer(parts).alias("p")).where("p IS NOT NULL")
              .select("label", "d", "p.n", "p.term").distinct())
     size = sample.agg(F.count(F.when(F.col("label") == 1, 1)).alias("bad"), F.count("*").alias("all")).first()

@@ -50,8 +50,8 @@ def test_contract_and_sql(spark):
     assert by[12, "b.net"].verdict == "allow"  # one soft term, twice
     assert by[3, ""].verdict == "block" and by[0, ""].verdict == "allow"
     con = duckdb.connect()
-    pages = df.select("page_id", "url").toPandas()
-    con.register("pages", pages)
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", rows)
     want = con.execute(uf.sql()).fetchall()
     names = [d[0] for d in con.description]
     assert sorted(map(str, (tuple(r[n] for n in names) for r in got))) == sorted(map(str, want))
