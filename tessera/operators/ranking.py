@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def top_n(df: DataFrame, partition: list[str] | str, order: list[Column], n: int,
           rank_col: str = "rank") -> DataFrame:
@@ -22,8 +24,42 @@ def top_n(df: DataFrame, partition: list[str] | str, order: list[Column], n: int
 
 def minmax_normalise(df: DataFrame, partition: str, value: str, out: str,
                      eps: float = 1e-9) -> DataFrame:
-    """Per-group min-max scaling; all zero when the range is below ``eps``."""
-    w = Window.partitionBy(partition)
-    lo, hi = F.min(value).over(w), F.max(value).over(w)
-    return df.withColumn(out, F.when(hi - lo < eps, F.lit(0.0))
-                         .otherwise((F.col(value) - lo) / (hi - lo)))
+    """Per-group min-max scaling; all zero when the range is below ``eps``.
+
+    The bounds are one aggregation joined back, so no task holds a whole group.
+    """
+    bounds = df.groupBy(F.col(partition).alias("_g")).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    scaled = F.when(hi - lo < eps, F.lit(0.0)).otherwise((F.col(value) - lo) / (hi - lo))
+    return (df.join(bounds, F.col(partition).eqNullSafe(F.col("_g"))).withColumn(out, scaled)
+            .drop("_g", "_lo", "_hi"))
+
+
+def running_sums(df: DataFrame, order: str, sums: dict[str, str]) -> DataFrame:
+    """``df`` (``order`` distinct) with the running sum of each column of ``sums``, from the
+    largest ``order`` down, under its new name, and its total as ``all_<column>``.
+
+    Rows are dealt out by range and written, so that ranges are the same for both
+    readers: sums within each range, and one row a range for the offsets.
+    """
+    dealt = materialize(df.repartitionByRange(F.desc(order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    within = Window.partitionBy("_range").orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    ranges = dealt.groupBy("_range").agg(*[F.sum(c).alias(f"_{c}") for c in sums])
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = ranges.select("_range", *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"_{c}") for c in sums],
+                            *[F.sum(f"_{c}").over(every).alias(f"all_{c}") for c in sums])
+    inner = dealt.select("*", *[F.sum(c).over(within).alias(f"_in_{c}") for c in sums])
+    out = inner.join(offsets, "_range")
+    return out.select(*df.columns, *[(F.col(f"_in_{c}") + F.col(f"_{c}")).alias(name) for c, name in sums.items()],
+                      *[f"all_{c}" for c in sums])
+
+
+def hits_at_k(df: DataFrame, user: str, order: list[Column], k: int, relevant: Column) -> DataFrame:
+    """Per user ``n_rec`` (rows shown: at most ``k``), ``n_rel`` (relevant rows) and ``n_hit``
+    (relevant among the first ``k``). Only the first ``k`` rows of a user are ranked; the
+    counts are plain aggregates."""
+    counts = df.groupBy(user).agg(F.least(F.lit(k).cast("bigint"), F.count(F.lit(1))).alias("n_rec"),
+                                  F.count_if(relevant).alias("n_rel"))
+    hits = top_n(df, user, order, k, "rn").where(relevant).groupBy(user).agg(F.count(F.lit(1)).alias("n_hit"))
+    return counts.join(hits, user, "left").fillna(0, ["n_hit"])

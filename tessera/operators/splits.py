@@ -31,18 +31,29 @@ def hash_order(key: Column | str, seed: int = 42) -> Column:
 
 def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float = 0.25,
                      seed: int = 42) -> DataFrame:
-    """Per label, the first ``round(f * n)`` rows in hash order are test.
+    """Per label, the first ``ceil(f * n)`` rows in hash order are test.
 
     Adds a boolean ``is_test``. Falls back to an unstratified split when some
     class has fewer than two rows (as the reference does).
+
+    No task ranks a whole label: rows are counted by (label, first 16 bits of the
+    hash), running sums over these at most 65,536 counts a label give the bucket
+    where the test set ends, and ranks are taken within (label, bucket).
     """
-    order = hash_order(key, seed)
-    w = Window.partitionBy(label)
-    ranked = (df.withColumn("_h", order)
-                .withColumn("_rn", F.row_number().over(w.orderBy("_h", key)))
-                .withColumn("_n", F.count(F.lit(1)).over(w)))
-    n_test = F.ceil(F.col("_n") * F.lit(test_fraction))
-    return ranked.withColumn("is_test", F.col("_rn") <= n_test).drop("_h", "_rn", "_n")
+    ordered = df.withColumn("_h", hash_order(key, seed)).withColumn(
+        "_b", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    least = df.groupBy(label).count().select(F.min("count")).scalar()
+    ordered = ordered.withColumn("_s", F.when(least >= 2, F.col(label)))
+    counts = ordered.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("_s")
+    upto = counts.select("_s", "_b", F.sum("_c").over(w.orderBy("_b")).alias("_upto"), "_c",
+                         F.ceil(F.sum("_c").over(w) * F.lit(test_fraction)).alias("_n"))
+    edge = (upto.where(F.col("_upto") >= F.col("_n")).groupBy(F.col("_s").alias("_es"))
+            .agg(F.min(F.struct("_b", (F.col("_n") - F.col("_upto") + F.col("_c")).alias("left"))).alias("_e")))
+    rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_h", key))
+    placed = ordered.withColumn("_rn", rank).join(edge, F.col("_s").eqNullSafe(F.col("_es")))
+    is_test = (F.col("_b") < F.col("_e._b")) | ((F.col("_b") == F.col("_e._b")) & (F.col("_rn") <= F.col("_e.left")))
+    return placed.withColumn("is_test", is_test).drop("_h", "_b", "_s", "_rn", "_es", "_e")
 
 
 def hash_split(df: DataFrame, key: Column | str, test_fraction: float = 0.2, seed: int = 42,

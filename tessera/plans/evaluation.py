@@ -15,6 +15,7 @@ from ..functions import text as X
 from ..functions.lexicon import POSITIVE_LABEL_NAMES
 from ..functions.scalar import round_half_away as rnd
 from ..operators import classify, splits
+from ..operators.ranking import running_sums
 from ..sources.tables import Tables
 from . import register
 
@@ -120,19 +121,25 @@ def accuracy(spark, sf):
                  F.count(F.lit(1)).alias("n"))
 
 
+def cells(pred):
+    """Counts ``(truth, pred, n)``: at most classes² rows, from which every metric is derived."""
+    return pred.groupBy("truth", "pred").agg(F.count(F.lit(1)).alias("n"))
+
+
 def per_class(pred):
-    """Per-class TP/FP/FN/support from (truth, pred) rows; classes from both columns."""
-    lab = pred.select(F.explode(F.array("truth", "pred")).alias("label")).distinct()
-    tp = pred.where(F.col("truth") == F.col("pred")).groupBy(F.col("truth").alias("label")).agg(
-        F.count(F.lit(1)).alias("tp"))
-    npred = pred.groupBy(F.col("pred").alias("label")).agg(F.count(F.lit(1)).alias("n_pred"))
-    sup = pred.groupBy(F.col("truth").alias("label")).agg(F.count(F.lit(1)).alias("support"))
-    out = lab.join(tp, "label", "left").join(npred, "label", "left").join(sup, "label", "left").fillna(0)
+    """Per-class precision/recall/F1/support and hits; classes from both columns."""
+    same = F.col("truth") == F.col("pred")
+    zero = F.lit(0).cast("bigint")
+    parts = F.array(
+        F.struct(F.col("truth").alias("label"), F.col("n").alias("support"), zero.alias("n_pred"),
+                 F.when(same, F.col("n")).otherwise(zero).alias("tp")),
+        F.struct(F.col("pred").alias("label"), zero.alias("support"), F.col("n").alias("n_pred"), zero.alias("tp")))
+    out = cells(pred).select(F.inline(parts)).groupBy("label").agg(
+        *[F.sum(c).alias(c) for c in ("support", "n_pred", "tp")])
     p = F.coalesce(F.try_divide(F.col("tp"), F.col("n_pred")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))
     f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0)
-    return out.select("label", p.alias("precision"), r.alias("recall"), f1.alias("f1"),
-                      F.col("support").cast("bigint").alias("support"))
+    return out.select("label", p.alias("precision"), r.alias("recall"), f1.alias("f1"), "support", "tp")
 
 
 PER_CLASS_SQL = """
@@ -156,18 +163,18 @@ UNION ALL
 SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
        round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcf""")
 def classification_report(spark, sf):
-    """Per-class precision/recall/F1/support plus macro and weighted averages."""
-    pc = per_class(_pred(spark, sf))
-    macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                   F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.sum("support").alias("support"))
-    wsum = F.sum("support")
-    weighted = pc.agg(F.lit("weighted avg").alias("label"),
-                      (F.sum(F.col("precision") * F.col("support")) / wsum).alias("precision"),
-                      (F.sum(F.col("recall") * F.col("support")) / wsum).alias("recall"),
-                      (F.sum(F.col("f1") * F.col("support")) / wsum).alias("f1"), wsum.alias("support"))
-    allrows = pc.unionByName(macro).unionByName(weighted)
-    return allrows.select("label", *[rnd(c, 6).alias(c) for c in ("precision", "recall", "f1")],
-                          F.col("support").cast("bigint").alias("support"))
+    """Per-class precision/recall/F1/support plus macro and weighted averages.
+
+    Each class adds to its own row and to both averages, in one aggregation.
+    """
+    kinds = F.array(*[F.struct(name.alias("name"), F.lit(kind).alias("kind")) for name, kind in
+                      ((F.col("label"), 0), (F.lit("macro avg"), 1), (F.lit("weighted avg"), 2))])
+    rows = per_class(_pred(spark, sf)).select("*", F.inline(kinds))
+    w = F.when(F.col("kind") == 2, F.col("support")).otherwise(F.lit(1))
+    mean = lambda c: rnd(F.sum(F.col(c) * w) / F.sum(w), 6).alias(c)
+    out = rows.groupBy("name", "kind").agg(*[mean(c) for c in ("precision", "recall", "f1")],
+                                           F.sum("support").cast("bigint").alias("support"))
+    return out.select(F.col("name").alias("label"), "precision", "recall", "f1", "support")
 
 
 @register("weighted_metrics", f"""
@@ -179,12 +186,10 @@ SELECT round(avg(CASE WHEN p.pred = p.truth THEN 1.0 ELSE 0.0 END), 6) AS accura
 FROM pred p""")
 def weighted_metrics(spark, sf):
     """Support-weighted precision, recall and F1 with accuracy."""
-    pred = _pred(spark, sf)
-    pc = per_class(pred)
-    w = pc.agg(*[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c)
-                 for c in ("precision", "recall", "f1")])
-    acc = pred.agg(F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("accuracy"))
-    return acc.join(w, how="inner").select(*[rnd(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+    n = F.sum("support")
+    mean = lambda c: rnd(F.sum(F.col(c) * F.col("support")) / n, 6).alias(c)
+    return per_class(_pred(spark, sf)).agg(rnd(F.sum("tp") / n, 6).alias("accuracy"),
+                                           *[mean(c) for c in ("precision", "recall", "f1")])
 
 
 @register("confusion_matrix", f"""
@@ -196,17 +201,14 @@ FROM lab a CROSS JOIN lab b""")
 def confusion_matrix(spark, sf):
     """Counts for every (truth, pred) class pair, zeros included.
 
-    The class list is a scalar subquery exploded twice (a proven small bound),
-    so no DataFrame cross join is planned.
+    The counts, at most classes² rows, are gathered in one row and laid out as a grid.
     """
-    pred = _pred(spark, sf)
-    classes = pred.select(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("truth", "pred"))))))\
-        .scalar()
-    grid = pred.sparkSession.range(1).select(F.explode(classes).alias("truth")) \
-        .select("truth", F.explode(classes).alias("pred"))
-    counts = pred.groupBy("truth", "pred").agg(F.count(F.lit(1)).alias("n"))
-    return grid.join(counts, ["truth", "pred"], "left").select(
-        "truth", "pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    one = cells(_pred(spark, sf)).agg(F.collect_list(F.struct("truth", "pred", "n")).alias("c"))
+    labels = F.array_distinct(F.flatten(F.transform("c", lambda x: F.array(x["truth"], x["pred"]))))
+    grid = one.select("c", labels.alias("l")).select("c", "l", F.explode("l").alias("truth")).select(
+        "c", "truth", F.explode("l").alias("pred"))
+    here = F.filter("c", lambda x: (x["truth"] == F.col("truth")) & (x["pred"] == F.col("pred")))
+    return grid.select("truth", "pred", F.aggregate(here, F.lit(0).cast("bigint"), lambda a, x: a + x["n"]).alias("n"))
 
 
 POS_SQL = f"""
@@ -266,41 +268,51 @@ def metrics_unpivot(spark, sf):
     return m.unpivot(["model"], ["accuracy", "precision", "recall", "f1"], "metric", "value")
 
 
+# The curve ranks by the log odds of the positive class: unlike the probability they
+# don't run into 0 and 1. Nine decimals of it are far below any difference between
+# documents and far above the noise of summing in another order.
 ROC_SQL = f"""
 WITH {nb_sql(QUALITY_SRC)}, {POS_SQL},
-s AS (SELECT doc_id, CAST(truth = (SELECT pos FROM pos) AS INTEGER) AS y, round(prob, 6) AS score
-      FROM probs WHERE label = (SELECT pos FROM pos)),
-g AS (SELECT score, count(*) FILTER (WHERE y = 1) AS tp, count(*) FILTER (WHERE y = 0) AS fp FROM s GROUP BY score),
+o AS (SELECT doc_id, max(jll) FILTER (WHERE label = (SELECT pos FROM pos)) AS a,
+             max(jll) FILTER (WHERE label <> (SELECT pos FROM pos)) AS m FROM probs GROUP BY doc_id),
+s AS (SELECT p.doc_id, CAST(any_value(p.truth) = (SELECT pos FROM pos) AS INTEGER) AS y, any_value(prob) FILTER (WHERE label = (SELECT pos FROM pos)) AS prob,
+             round(any_value(a) - any_value(m) - ln(sum(exp(jll - m)) FILTER (WHERE label <> (SELECT pos FROM pos))), 9) AS score
+      FROM probs p JOIN o USING (doc_id) GROUP BY p.doc_id),
+g AS (SELECT score, max(prob) AS prob, count(*) FILTER (WHERE y = 1) AS tp, count(*) FILTER (WHERE y = 0) AS fp FROM s GROUP BY score),
 totals AS (SELECT sum(tp) AS p, sum(fp) AS n FROM g),
-cum AS (SELECT score, sum(tp) OVER (ORDER BY score DESC) AS ctp, sum(fp) OVER (ORDER BY score DESC) AS cfp FROM g),
-pts AS (SELECT score, CASE WHEN (SELECT n FROM totals) = 0 THEN 0.0 ELSE cfp / (SELECT n FROM totals) END AS fpr,
+cum AS (SELECT score, prob, sum(tp) OVER (ORDER BY score DESC) AS ctp, sum(fp) OVER (ORDER BY score DESC) AS cfp FROM g),
+pts AS (SELECT score, prob, CASE WHEN (SELECT n FROM totals) = 0 THEN 0.0 ELSE cfp / (SELECT n FROM totals) END AS fpr,
                CASE WHEN (SELECT p FROM totals) = 0 THEN 0.0 ELSE ctp / (SELECT p FROM totals) END AS tpr FROM cum)"""
 
 
-def _roc_points(spark, sf):
+def _roc_counts(spark, sf):
+    """(score, prob, tp, fp, ctp, cfp) for every distinct score, counted from the highest."""
     from .text import positive_class
     src = _source(spark, sf, "quality")
-    pos = positive_class(src, "label")
-    p = nb_predictions(spark, sf, "quality").where(F.col("label") == pos)
-    s = p.select((F.col("truth") == pos).cast("int").alias("y"), rnd("prob", 6).alias("score"))
-    # Scores are rounded to 6 decimals, so at most 10^6 + 1 distinct values reach
-    # the ordered cumulative window: a proven bound for its single partition.
-    g = s.groupBy("score").agg(F.count_if(F.col("y") == 1).alias("tp"), F.count_if(F.col("y") == 0).alias("fp"))
-    p_tot = g.select(F.sum("tp")).scalar()
-    n_tot = g.select(F.sum("fp")).scalar()
-    w = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    cum = g.select("score", F.sum("tp").over(w).alias("ctp"), F.sum("fp").over(w).alias("cfp"))
-    return cum.select("score",
-                      F.when(n_tot == 0, 0.0).otherwise(F.col("cfp") / n_tot).alias("fpr"),
-                      F.when(p_tot == 0, 0.0).otherwise(F.col("ctp") / p_tot).alias("tpr"))
+    pos = F.col("label") == positive_class(src, "label")
+    p = nb_predictions(spark, sf, "quality").withColumn("pos", pos)
+    top = F.max(F.when(~F.col("pos"), F.col("jll")))
+    own = F.max(F.when(F.col("pos"), F.col("jll")))
+    # log of the sum over the other classes, whose number is bounded: their list is one row's
+    others = F.collect_list(F.when(~F.col("pos"), F.col("jll")))
+    per_doc = p.groupBy("doc_id").agg(
+        own.alias("a"), top.alias("m"), others.alias("o"), F.max(F.when(F.col("pos"), F.col("prob"))).alias("prob"),
+        F.max(F.when(F.col("pos"), (F.col("truth") == F.col("label")).cast("int"))).alias("y"))
+    log_rest = F.col("m") + F.log(F.aggregate("o", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("m"))))
+    scored = per_doc.select("y", "prob", rnd(F.col("a") - log_rest, 9).alias("score"))
+    g = scored.groupBy("score").agg(F.max("prob").alias("prob"), F.count_if(F.col("y") == 1).alias("tp"),
+                                    F.count_if(F.col("y") == 0).alias("fp"))
+    return running_sums(g, "score", {"tp": "ctp", "fp": "cfp"})
 
 
 @register("roc_curve", ROC_SQL + """
-SELECT score AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM pts""")
+SELECT score AS log_odds, round(prob, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM pts""")
 def roc_curve(spark, sf):
     """ROC points at every distinct score (descending thresholds)."""
-    pts = _roc_points(spark, sf)
-    return pts.select(F.col("score").alias("threshold"), rnd("fpr", 6).alias("fpr"), rnd("tpr", 6).alias("tpr"))
+    c = _roc_counts(spark, sf)
+    share = lambda k, n: F.coalesce(F.try_divide(F.col(k), F.col(n)), F.lit(0.0))
+    return c.select(F.col("score").alias("log_odds"), rnd("prob", 6).alias("threshold"),
+                    rnd(share("cfp", "all_fp"), 6).alias("fpr"), rnd(share("ctp", "all_tp"), 6).alias("tpr"))
 
 
 @register("roc_auc", ROC_SQL + """,
@@ -308,8 +320,7 @@ seg AS (SELECT fpr, tpr, lag(fpr, 1, 0.0) OVER (ORDER BY score DESC) AS pf,
                lag(tpr, 1, 0.0) OVER (ORDER BY score DESC) AS pt FROM pts)
 SELECT round(sum((fpr - pf) * (tpr + pt) / 2.0), 6) AS auc FROM seg""")
 def roc_auc(spark, sf):
-    """Trapezoid area under the ROC points, starting from (0, 0)."""
-    pts = _roc_points(spark, sf)
-    w = Window.orderBy(F.desc("score"))
-    seg = pts.select("fpr", "tpr", F.lag("fpr", 1, 0.0).over(w).alias("pf"), F.lag("tpr", 1, 0.0).over(w).alias("pt"))
-    return seg.agg(rnd(F.sum((F.col("fpr") - F.col("pf")) * (F.col("tpr") + F.col("pt")) / 2.0), 6).alias("auc"))
+    """Trapezoid area under the ROC points, starting from (0, 0): each score adds its
+    negatives times the mean of the positives before and up to it."""
+    area = F.sum(F.col("fp") * (F.col("ctp") - F.col("tp") / 2)) / F.max(F.col("all_fp") * F.col("all_tp"))
+    return _roc_counts(spark, sf).agg(rnd(area, 6).alias("auc"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes (it turns
 # a sort-merge join into a broadcast join only when the shuffled side really is
@@ -61,3 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back: the lineage is cut,
+    several readers see the same rows, and a lost executor costs a reread."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

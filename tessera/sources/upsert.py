@@ -23,11 +23,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 def upsert_latest(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last write wins per key over the old state and a new batch."""
     return latest_per_key(old.unionByName(new, allowMissingColumns=True), keys, order)
-
-
-def write_state(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Rewrite the state table (dynamic partition overwrite touches only changed partitions)."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)

@@ -3,20 +3,24 @@ machine, validated rating ingest and append-only logs.
 
 Every job takes a streaming DataFrame and a checkpoint location (shared
 storage on a cluster), so a lost executor or a restarted driver resumes from
-the last committed offsets. Replays are dropped with a watermark plus
-``dropDuplicatesWithinWatermark`` on the event id.
+the last committed offsets. Repeated events are dropped with a watermark plus
+``dropDuplicatesWithinWatermark`` on the event id; sinks are keyed by the batch number, so
+a batch that is run again replaces its own rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.profile import weight_of
+from ..sources import buckets
+from ..sources.files import path_exists, put_batch
 from ..sources.tables import interactions
 
 EPOCH = "2024-01-01 00:00:00"
@@ -55,37 +59,46 @@ def profile_at(state: DataFrame, ref, epoch: str = EPOCH, half_life_days: float
 
 
 def start_profile_upserts(events: DataFrame, table_path: str, checkpoint: str, trigger: dict | None = None):
-    """ST1 sink: each micro-batch's changed keys are merged into a parquet state
-    table with last-write-wins (the aggregate already holds the running sum)."""
-    from ..sources.upsert import upsert_latest
+    """ST1 sink: each micro-batch's changed keys go into a versioned bucket table
+    (``sources.buckets``): only the buckets that the batch touches are written anew, and
+    readers see a batch when its manifest is there, so a crash loses nothing."""
+    w = (profile_stream(events).writeStream.outputMode("update")
+         .foreachBatch(lambda batch, epoch: buckets.upsert(batch, table_path, ["user_id", "item_id"], "user_id", epoch))
+         .option("checkpointLocation", checkpoint))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_refits(events: DataFrame, every: int, refit: Callable[[SparkSession, int], None], count_path: str,
+                 checkpoint: str, trigger: dict | None = None):
+    """ST1/R19: call ``refit(spark, n_events)`` whenever ``every`` further events have arrived.
 
-    def merge(batch: DataFrame, epoch_id: int):
+    Each batch's count is a row of its own under the batch's number, so a replayed batch
+    counts once. ``refit`` may be called again after a crash and has to be repeatable.
+    """
+    def count(batch: DataFrame, epoch: int):
         spark = batch.sparkSession
-        new = batch.withColumn("batch_id", F.lit(epoch_id).cast("long"))
-        try:
-            old = spark.read.parquet(table_path)
-        except Exception:  # noqa: BLE001 - first batch: no table yet
-            old = new.limit(0)
-        merged = upsert_latest(old, new, ["user_id", "item_id"], ["batch_id"])
-        tmp = f"{table_path}.__next"
-        merged.write.mode("overwrite").parquet(tmp)
-        spark.read.parquet(tmp).write.mode("overwrite").parquet(table_path)
-
-    w = (profile_stream(events).writeStream.outputMode("update").foreachBatch(merge)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+        before = (spark.read.parquet(count_path).where(F.col("batch_id") < epoch).agg(F.sum("n")).first()[0] or 0
+                  if path_exists(spark, count_path) else 0)
+        n = batch.count()
+        if (before + n) // every > before // every:
+            refit(spark, before + n)
+        put_batch(spark.createDataFrame([(n,)], "n long"), count_path, epoch)
+
+    w = events.writeStream.foreachBatch(count).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 CONTEXT_OUT = "event_id long, user_id long, intent string"
 CONTEXT_STATE = "pending boolean, last_ts timestamp_ntz, last_event_id long"
 
 
-def _context_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState, trigger: str = "weather"):
-    pending = False
-    if state.exists:
-        pending = bool(state.get[0])
-    frames = list(pdfs)
+def _context_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState, trigger: str = "weather",
+                  ttl_ms: int = 86_400_000):
+    if state.hasTimedOut:
+        state.remove()
+        return
+    pending = bool(state.get[0]) if state.exists else False
+    frames = list(pdfs)  # one user's turns of one micro-batch
     if not frames:
         return
     pdf = pd.concat(frames).sort_values(["ts", "event_id"], kind="mergesort")
@@ -101,23 +114,26 @@ def _context_step(key, pdfs: Iterator[pd.DataFrame], state: GroupState, trigger:
             pending = lab == trigger
     last = pdf.iloc[-1]
     state.update((pending, last["ts"], int(last["event_id"])))
+    seen = int(pd.Timestamp(last["event_time"]).timestamp() * 1000)
+    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), seen) + ttl_ms)
     yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64").to_numpy(),
                         "user_id": [key[0]] * len(pdf), "intent": out})
 
 
-def context_stream(turns: DataFrame, watermark: str = "1 day") -> DataFrame:
+def context_stream(turns: DataFrame, watermark: str = "1 day", ttl_hours: float = 24.0) -> DataFrame:
     """ST2: the context automaton as keyed state (one bit per user).
 
     ``turns``: streaming ``(event_id, user_id, ts, lab, conf)``. Within a
     micro-batch each user's turns are ordered by (ts, event_id); across batches
     the state carries whether the last answer asked for a follow-up.
-    Duplicate deliveries are dropped by event id inside the watermark.
+    Duplicate deliveries are dropped by event id inside the watermark. A user's
+    state is removed ``ttl_hours`` of event time after the last turn.
     """
     dedup = with_event_time(turns).withWatermark("event_time", watermark) \
-        .dropDuplicatesWithinWatermark(["event_id"]).drop("event_time")
+        .dropDuplicatesWithinWatermark(["event_id"])
     return dedup.groupBy("user_id").applyInPandasWithState(
-        _context_step, outputStructType=CONTEXT_OUT, stateStructType=CONTEXT_STATE,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        partial(_context_step, ttl_ms=int(ttl_hours * 3_600_000)), outputStructType=CONTEXT_OUT,
+        stateStructType=CONTEXT_STATE, outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def validate_ratings(ratings: DataFrame, catalog_items: DataFrame, lo: float = 1.0, hi: float = 5.0):
@@ -128,7 +144,7 @@ def validate_ratings(ratings: DataFrame, catalog_items: DataFrame, lo: float = 1
     (broadcast when AQE sees it is small).
     """
     known = ratings.join(catalog_items.select("item_id", F.lit(True).alias("_known")), "item_id", "left")
-    ok_range = F.col("rating").between(lo, hi)
+    ok_range = F.coalesce(F.col("rating").between(lo, hi), F.lit(False))  # a null rating is out of range
     is_known = F.coalesce(F.col("_known"), F.lit(False))
     valid = known.where(is_known & ok_range).drop("_known")
     rejected = (known.where(~(is_known & ok_range))
@@ -139,11 +155,14 @@ def validate_ratings(ratings: DataFrame, catalog_items: DataFrame, lo: float = 1
 
 def start_rating_ingest(ratings: DataFrame, catalog_items: DataFrame, out_path: str, reject_path: str,
                         checkpoint: str, trigger: dict | None = None):
-    """ST3/ST4: validated ratings appended to one parquet table, rejects to a side table."""
+    """ST3/ST4: validated ratings appended to one parquet table, rejects to a side table. Each
+    batch has a partition of its own, so a replay writes it again instead of twice."""
     def write(batch: DataFrame, epoch_id: int):
+        batch = batch.persist()  # read for both tables
         valid, rejected = validate_ratings(batch, catalog_items)
-        valid.write.mode("append").parquet(out_path)
-        rejected.write.mode("append").parquet(reject_path)
+        put_batch(valid, out_path, epoch_id)
+        put_batch(rejected, reject_path, epoch_id)
+        batch.unpersist()
 
     w = ratings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -75,5 +75,14 @@ def test_context_automaton_matches_loop(spark):
             df, "user_id", ["ts", "event_id"], F.col("lab"), F.col("conf"), chunk=chunk).collect()}
         for u in range(6):
             seq = sorted([r for r in rows if r[1] == u], key=lambda r: (r[2], r[0]))
-            want = chat.context_intents_loop([(r[3], r[4]) for r in seq])
+            want = context_intents_loop([(r[3], r[4]) for r in seq])
             assert [got[r[0]] for r in seq] == want
+
+
+def context_intents_loop(rows, trigger="weather"):
+    """The automaton turn by turn: rows are (label, confident) in turn order."""
+    pending, out = False, []
+    for label, sure in rows:
+        out.append(f"{trigger}_followup" if pending else label if sure else "unknown")
+        pending = (pending, sure, label) == (False, True, trigger)
+    return out
