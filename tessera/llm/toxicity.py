@@ -37,6 +37,7 @@ ROWS_PER_CLASS = 6000
 MAX_TERMS = 4000
 PREFIXES = (4, 5, 6)
 NEAR = 6
+_WORDS = 20_000  # distinct words whose rows are Python objects at once
 # fixed values: a small general lexicon, and second-person words
 LEXICON = frozenset("""asshole bastard bitch clown crap damn disgusting dumb freak fuck garbage hate hideous idiot imbecile
 jerk kill loser lunatic moron nazi pathetic pig retard scum shit shut slut stupid trash ugly vermin worthless""".split())
@@ -96,7 +97,10 @@ def features(texts: list[str], terms: Terms) -> np.ndarray:
     """Feature matrix of some texts, each read to its end."""
     vocabulary, codes, ends = coded(texts, str.split)
     width = len(_word_row("", terms))
-    rows = np.array([_word_row(w, terms) for w in vocabulary], np.float32).reshape(-1, width)
+    rows = np.zeros((len(vocabulary), width), np.float32)
+    for k in range(0, len(vocabulary), _WORDS):
+        some = vocabulary[k:k + _WORDS]
+        rows[k:k + _WORDS] = [_word_row(w, terms) for w in some]
     out = np.zeros((len(texts), len(FEATURES)))
     count = np.diff(ends, prepend=0)
     per_word = np.maximum(count, 1)
