@@ -5,16 +5,16 @@ distinct word and then gathered by number."""
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count
 
 import numpy as np
 
 #: Characters of text that a task codes at once; one longer text is coded alone, whole.
-CHARS = 12_000_000
+CHARS = 2_500_000
 
 
-def slices(texts: list[str | None], chars: int = CHARS) -> Iterator[list[str]]:
+def slices(texts: Iterable[str | None], chars: int = CHARS) -> Iterator[list[str]]:
     """``texts`` in order, some at a time; null becomes the empty text."""
     some, n = [], 0
     for t in texts:

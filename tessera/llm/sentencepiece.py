@@ -41,8 +41,7 @@ UNKNOWN_COST = 10.0
 # fixed values: the piece types of the model format
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 _ALONE = 192  # bytes from which a segment is walked alone
-_CELLS = 1 << 19  # (segments x bytes) of one matrix
-_CHARS = 6_000_000
+_CELLS = 1 << 18  # (segments x bytes) of one matrix
 
 
 @dataclass
@@ -295,7 +294,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = 0
-            for some in slices(b.column("text").to_pylist(), _CHARS):
+            for some in slices(t.as_py() for t in b.column("text")):
                 ids, ends = encode_texts(p, some)
                 starts = np.concatenate([[0], ends[:-1]])
                 same = [decode_ids(p, ids[i:j].tolist()) == t for i, j, t in zip(starts, ends, some, strict=True)]
