@@ -77,28 +77,36 @@ def doc_term_counts(docs: DataFrame, doc: str, tokens: Column, label: str | None
 
 # ------------------------------------------------------------------ MLlib jobs
 
-def fit_tfidf(df: DataFrame, input_col: str = "tokens", vocab_size: int = 1 << 18, min_df: float = 1.0,
-              max_df: float | None = None):
-    """X1 as fitted MLlib stages: CountVectorizer → ×(idf + 1) → L2 Normalizer.
-
-    Spark's ``IDF`` computes ``ln((n + 1) / (df + 1))`` without the ``+ 1`` of
-    the smoothed formula (a term in every document gets weight 0), so the IDF
-    model is fitted only to read its vector and the counts are scaled by
-    ``idf + 1`` with an ``ElementwiseProduct``. ``max_df`` is a fraction; leave
-    it unset for 1.0, since Spark reads values >= 1 as document counts.
+#: CountVectorizer's largest vocabulary: no term is left out unless a caller asks for a cap.
+ALL_TERMS = (1 << 31) - 1
+
+
+def shifted_idf(input_col: str = "tf", output_col: str = "tfidf"):
+    """An estimator of term weights ``tf * (idf + 1)``.
+
+    Spark's ``IDF`` computes ``ln((n + 1) / (df + 1))`` without the ``+ 1`` of the smoothed
+    formula (a term in every document would get weight 0), so its fitted vector, plus
+    one, becomes an ``ElementwiseProduct``. As an estimator it can stand in a pipeline
+    under ``CrossValidator``, and its fitted stage is saved like any other.
     """
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+    from pyspark import keyword_only
+    from pyspark.ml import Estimator
+    from pyspark.ml.feature import IDF, ElementwiseProduct
     from pyspark.ml.linalg import Vectors
-    cv = CountVectorizer(inputCol=input_col, outputCol="tf", vocabSize=vocab_size, minDF=min_df)
-    if max_df is not None:
-        cv.setMaxDF(max_df)
-    cv_model = cv.fit(df)
-    idf_model = IDF(inputCol="tf", outputCol="_idf").fit(cv_model.transform(df))
-    scale = Vectors.dense([x + 1.0 for x in idf_model.idf.toArray()])
-    ep = ElementwiseProduct(scalingVec=scale, inputCol="tf", outputCol="tfidf")
-    norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
-    return PipelineModel(stages=[cv_model, ep, norm])
+    from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+
+    class ShiftedIDF(Estimator, HasInputCol, HasOutputCol):
+        @keyword_only
+        def __init__(self, *, inputCol=None, outputCol=None):
+            super().__init__()
+            self._set(**self._input_kwargs)
+
+        def _fit(self, df):
+            idf = IDF(inputCol=self.getInputCol(), outputCol="_idf").fit(df).idf
+            return ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol=self.getInputCol(),
+                                      outputCol=self.getOutputCol())
+
+    return ShiftedIDF(inputCol=input_col, outputCol=output_col)
 
 
 def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: float = 1.0,
@@ -127,20 +135,21 @@ def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: floa
 
 
 def text_pipeline(kind: str, tokens_col: str = "tokens", label_col: str = "label", n_rows: int | None = None,
-                  vocab_size: int = 1 << 18, min_df: float = 1.0, **kw):
-    """M6: StringIndexer → CountVectorizer → IDF → L2 Normalizer → classifier.
+                  vocab_size: int = ALL_TERMS, min_df: float = 1.0, max_df: float | None = None, **kw):
+    """M6: StringIndexer → CountVectorizer → ×(idf + 1) → L2 Normalizer → classifier.
 
-    A plain ``Pipeline`` so it can go into ``CrossValidator``; inside the grid
-    the IDF is Spark's (no +1 shift). ``fit_tfidf`` gives the shifted weights.
+    A plain ``Pipeline`` so it can go into ``CrossValidator``. ``max_df`` is a fraction; leave
+    it unset for 1.0, since Spark reads values >= 1 as document counts.
     """
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, CountVectorizer, Normalizer, StringIndexer
+    from pyspark.ml.feature import CountVectorizer, Normalizer, StringIndexer
     idx = StringIndexer(inputCol=label_col, outputCol="label_idx", stringOrderType="alphabetAsc")
     cv = CountVectorizer(inputCol=tokens_col, outputCol="tf", vocabSize=vocab_size, minDF=min_df)
-    idf = IDF(inputCol="tf", outputCol="tfidf")
+    if max_df is not None:
+        cv.setMaxDF(max_df)
     norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
     est = classifier(kind, n_rows=n_rows, **kw)
-    return Pipeline(stages=[idx, cv, idf, norm, est])
+    return Pipeline(stages=[idx, cv, shifted_idf(), norm, est])
 
 
 def with_labels(model, predictions: DataFrame) -> DataFrame:

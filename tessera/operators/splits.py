@@ -54,11 +54,3 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     placed = ordered.withColumn("_rn", rank).join(edge, F.col("_s").eqNullSafe(F.col("_es")))
     is_test = (F.col("_b") < F.col("_e._b")) | ((F.col("_b") == F.col("_e._b")) & (F.col("_rn") <= F.col("_e.left")))
     return placed.withColumn("is_test", is_test).drop("_h", "_b", "_s", "_rn", "_es", "_e")
-
-
-def hash_split(df: DataFrame, key: Column | str, test_fraction: float = 0.2, seed: int = 42,
-               buckets: int = 1000) -> DataFrame:
-    """Unstratified split by hashed key; adds ``is_test``. Map-only, no shuffle."""
-    h = hash_order(key, seed)
-    bucket = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % buckets
-    return df.withColumn("is_test", bucket < int(round(test_fraction * buckets)))

@@ -4,6 +4,7 @@ and by invariant tests."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -13,7 +14,6 @@ from ..functions.scalar import round_half_away as rnd
 from ..operators import classify, factor, profile, recommend, splits
 from ..sources.tables import Tables, catalog, interactions, ratings
 from . import register
-from .catalog import content_feed
 from .evaluation import TEST_FRACTION, _source
 from .ratings import _split
 
@@ -111,23 +111,23 @@ def random_search(spark, sf, draws: int = 4, seed: int = 42):
 
 @register("batch_predictions")
 def batch_predictions(spark, sf):
-    """Label and confidence % (max class probability × 100) for every test row."""
+    """Label and confidence % (max class probability × 100) for every input row."""
     from pyspark.ml.functions import vector_to_array
     data = _labelled(spark, sf)
     model = _fit("logreg", data.where(~F.col("is_test")))
-    pred = classify.with_labels(model, model.transform(data.where(F.col("is_test"))))
+    pred = classify.with_labels(model, model.transform(data))
     return pred.select("doc_id", F.col("pred_label").alias("prediction"),
                        rnd(F.array_max(vector_to_array("probability")) * 100, 4).alias("confidence"))
 
 
 @register("class_probabilities")
 def class_probabilities(spark, sf):
-    """Every class with its probability, one row each."""
+    """Every class of every input row with its probability, one row each."""
     from pyspark.ml.functions import vector_to_array
     data = _labelled(spark, sf)
     model = _fit("nb", data.where(~F.col("is_test")))
     labels = model.stages[0].labels
-    pred = model.transform(data.where(F.col("is_test")))
+    pred = model.transform(data)
     return (pred.select("doc_id", F.posexplode(vector_to_array("probability")).alias("idx", "p"))
             .select("doc_id", pick_by_index(labels, F.col("idx")).alias("label"), rnd("p", 6).alias("probability")))
 
@@ -142,11 +142,12 @@ def top_terms_per_class(spark, sf, k: int = 10):
     coef = model.stages[-1].coefficientMatrix.toArray()
     if coef.shape[0] == 1:   # binary: class 0 ranks by the negated row
         coef = [-coef[0], coef[0]]
-    rows = [(labels[c], vocab[j], float(coef[c][j])) for c in range(len(labels)) for j in range(len(vocab))]
-    df = spark.createDataFrame(rows, "label string, term string, coefficient double")
-    from ..operators.ranking import top_n
-    return top_n(df, "label", [F.desc("coefficient"), F.asc("term")], k).select(
-        "label", "rank", "term", rnd("coefficient", 6).alias("coefficient"))
+    rows = []
+    for label, weights in zip(labels, coef):  # the model's own vectors: only k terms a class leave them
+        first = sorted(np.argsort(-weights, kind="stable")[:k].tolist(), key=lambda j: (-weights[j], vocab[j]))
+        rows += [(label, rank + 1, vocab[j], float(weights[j])) for rank, j in enumerate(first)]
+    df = spark.createDataFrame(rows, "label string, rank long, term string, coefficient double")
+    return df.select("label", "rank", "term", rnd("coefficient", 6).alias("coefficient"))
 
 
 @register("svm_platt")
