@@ -3,14 +3,19 @@
 The ratio compares two multinomials over hashed words and word pairs: one of a trusted
 target (documents labelled as good), one of the raw corpus (all documents). Counts are
 gathered over every document and every text to its end: one pass of partial sums, at most
-``buckets`` rows a task. The target's multinomial is smoothed by ``prior`` n-grams spread
-like the raw corpus, so with few or no trusted texts the ratio goes to 0 and rejects
-nothing. A document's score is the mean log ratio of its n-grams (length-normalised);
-every document is held against the same fixed threshold, no draw is involved.
+``buckets`` rows a task. The target's multinomial is smoothed by n-grams spread like the raw
+corpus, ``PRIOR_SHARE`` as many as the trusted ones (or ``prior``), so a score means the same
+at every size; without trusted texts the ratio is 0 and rejects nothing. A document's score
+is the mean log ratio of its n-grams (length-normalised).
 
-Everything is Spark SQL expressions. The table of ``buckets`` log ratios (a size fixed by a
-parameter) is a scalar subquery's value; a document's n-grams become rows whose sum is
-taken in the same task, so only one row of numbers for each document is shuffled.
+The bar comes from all trusted documents that pass the base rules: each is also scored by
+ratios without its own fold (one of ``FOLDS`` by hash of the id), as if it weren't labelled,
+and the bar is the score that at most ``LOST`` of them stay below. With few trusted texts
+these scores are low, so the bar is low and rejects little. No draw is involved.
+
+Everything is Spark SQL expressions. The ``1 + FOLDS`` tables of ``buckets`` log ratios (sizes
+fixed by parameters) are a scalar subquery's value; a document's n-grams become rows whose
+sum is taken in the same task, so only one row of numbers for each document is shuffled.
 
 Edge cases: null and empty texts have zero words and fail the base rules; a text with fewer
 than five words has no window; a text of one word has a score from that word; rows are
@@ -20,17 +25,18 @@ is never trusted); empty tables give an empty result; other columns are dropped.
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import NOT_SPACE, broadcast_if_small, once, runs, windows, words
+from ._shared import NOT_SPACE, broadcast_if_small, materialize, once, runs, windows, words
 
 BUCKETS = 1 << 15
-PRIOR = 1 << 15
-THRESHOLD = -0.25
+PRIOR_SHARE = 0.1
+FOLDS = 8
+LOST = 0.01
+STEP = 0.001
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_WORDS = 10
@@ -82,38 +88,65 @@ def _grams(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
         F.when(F.col("w1").isNotNull(), hashed("w0", "w1")).alias("two"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> list[float]:
-    """The log ratio of each bucket, from all of ``docs`` (doc, text); ``trusted`` (doc) names
-    the target. What reaches the driver is one row a bucket."""
-    mark = broadcast_if_small(trusted.select("doc").where("doc IS NOT NULL").distinct()
-                              .withColumn("trusted", F.lit(1)))
-    split = docs.join(mark, "doc", "left").select("trusted", words(F.col("text")).alias("w"))
-    counts = (_grams(split, ["trusted"], buckets)
-              .select("trusted", F.explode_outer(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
-              .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))).collect()
-    all_raw, all_good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
-    ratios = [0.0] * buckets
-    for r in counts:
-        expected = r["raw"] / all_raw
-        ratios[r["bucket"]] = math.log((r["good"] + prior * expected) / (all_good + prior) / expected)
+def log_ratios(docs: DataFrame, buckets: int = BUCKETS, prior: float | None = None) -> list[float]:
+    """The log ratio of each bucket against all trusted documents of ``docs`` (fold, text),
+    then, fold by fold, against those outside the fold; ``fold`` is null where a document
+    isn't trusted. What reaches the driver is one row a bucket."""
+    split = docs.select("fold", words(F.col("text")).alias("w"))
+    in_fold = [F.count(F.when(F.col("fold") == k, 1)).alias(f"good{k}") for k in range(FOLDS)]
+    counts = (_grams(split, ["fold"], buckets)
+              .select("fold", F.explode_outer(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
+              .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("fold").alias("good"), *in_fold)).collect()
+    all_raw = sum(r["raw"] for r in counts)
+    ratios = [0.0] * ((1 + FOLDS) * buckets)
+    for k in range(1 + FOLDS):
+        good = [r["good"] - (r[f"good{k - 1}"] if k else 0) for r in counts]
+        all_good = sum(good)
+        spread = PRIOR_SHARE * all_good if prior is None else prior
+        for r, g in zip(counts, good) if all_good else ():
+            expected = r["raw"] / all_raw
+            ratios[k * buckets + r["bucket"]] = math.log((g + spread * expected) / (all_good + spread) / expected)
     return ratios
 
 
+def _bar(scored: DataFrame) -> float:
+    """The score that at most ``LOST`` of the trusted documents that pass the base rules stay
+    below, each scored without its own fold; from counts of scores in steps of ``STEP``,
+    so it is the same in every run. Not above 0, where a document is as like the target as
+    the corpus; without trusted documents there is no bar."""
+    steps = (scored.where("held_out IS NOT NULL AND NOT base_failed")
+             .groupBy(F.floor(F.col("held_out") / STEP).alias("step")).count().collect())
+    below, allowed = 0, LOST * sum(r["count"] for r in steps)
+    for r in sorted(steps, key=lambda r: r["step"]):
+        below += r["count"]
+        if below > allowed:
+            return min(r["step"] * STEP, 0.0)
+    return -math.inf
+
+
 def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          threshold: float = THRESHOLD, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+          threshold: float | None = None, buckets: int = BUCKETS, prior: float | None = None) -> DataFrame:
     """(id, base columns, base_failed, kept, score) for every row of ``docs``; ``trusted`` has
     the ids of the target's documents in ``id_col``."""
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    ratios = log_ratios(docs, trusted.select(F.col(id_col).alias("doc")), buckets, prior)
-    # a scalar subquery, not a literal: Spark holds its value as one block of doubles
-    by_bucket = docs.sparkSession.range(1).select(F.from_json(F.lit(json.dumps(ratios)), "array<double>")).scalar()
-    ratio = lambda b: F.coalesce(F.get(by_bucket, F.col(b)), F.lit(0.0))
+    mark = broadcast_if_small(trusted.select(F.col(id_col).alias("doc")).where("doc IS NOT NULL").distinct()
+                              .withColumn("fold", F.pmod(F.xxhash64("doc"), F.lit(FOLDS)).cast("int")))
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(mark, "doc", "left")
+    ratios = log_ratios(docs, buckets, prior)
+    # a scalar subquery over a file, not a literal: Spark holds its value as one block of doubles, the plan stays short
+    table = docs.sparkSession.createDataFrame([(ratios,)], "ratios array<double>")
+    by_bucket = materialize(table, "quality-ratios").scalar()
+    ratio = lambda b: F.coalesce(F.get(by_bucket, b), F.lit(0.0))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    counted = base_counts(docs, ["doc"]).withColumn("row", F.monotonically_increasing_id())
+    counted = base_counts(docs, ["doc", "fold"]).withColumn("row", F.monotonically_increasing_id())
     n = F.greatest(2 * F.col("n_words") - 1, F.lit(1))  # words and pairs
     # a task sees all n-grams of a row, so its partial sums are one for each row
-    score = F.sum(ratio("one") + ratio("two")) / F.first(n)
-    return (_grams(counted, ["row", "doc", *base], buckets).groupBy("row", "doc")
-            .agg(*[F.first(c).alias(c) for c in base], score.alias("score"))
-            .select(F.col("doc").alias(id_col), *base,
-                    (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score"))
+    score = F.sum(ratio(F.col("one")) + ratio(F.col("two"))) / F.first(n)
+    own = (F.col("fold") + 1) * buckets
+    held_out = F.sum(F.when(F.col("fold").isNotNull(), ratio(F.col("one") + own) + ratio(F.col("two") + own)))
+    scored = materialize(
+        _grams(counted, ["row", "doc", "fold", *base], buckets).groupBy("row", "doc")
+        .agg(*[F.first(c).alias(c) for c in base], score.alias("score"), (held_out / F.first(n)).alias("held_out")),
+        "quality-scores")
+    bar = _bar(scored) if threshold is None else threshold
+    return scored.select(F.col("doc").alias(id_col), *base,
+                         (~F.col("base_failed") & (F.col("score") >= bar)).alias("kept"), "score")

@@ -65,3 +65,11 @@ def test_query_covers_all_documents_and_keeps_good_ones(spark):
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
     good = got.merge(labels[labels.quality == 1], on="doc_id")
     assert good[~good.base_failed].kept.mean() > 0.98
+
+
+def test_bad_documents_are_rejected_alike_at_two_sizes(spark):
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        got = op5_quality(spark, sf).where("NOT base_failed").select("doc_id", "kept").toPandas()
+        labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").toPandas()
+        kept = got.merge(labels, on="doc_id").groupby("quality").kept.mean()
+        assert kept[0] < 0.05 and kept[1] > 0.98, (sf, kept)
