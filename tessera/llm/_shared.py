@@ -6,7 +6,7 @@ import sys
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -82,3 +82,35 @@ def fresh(name: str, df: DataFrame) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def key_of(value: Column) -> Column:
+    """A string that is equal for equal values, never null, and sorts null first, then the
+    values as strings by their UTF-8 bytes."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
+def ranked(df: DataFrame, group: str, order: list, what: str, weight: str | None = None) -> DataFrame:
+    """``df`` with ``before``, the number of rows (or the sum of ``weight``) ahead of a row in
+    its ``group`` by ``order``, and ``total``, that of the whole group.
+
+    No group is sorted in one task: the rows are dealt by ranges of (group, order, own
+    number), each range is sorted and written with its rows' positions, and a small table of
+    (group, range) carries the sums over. Rows equal in ``order`` keep the order of the scan.
+    """
+    own, at, part = fresh("own", df), fresh("at", df), fresh("part", df)
+    keys = [F.col(group), *order, F.col(own)]
+    dealt = df.withColumn(own, F.monotonically_increasing_id()).repartitionByRange(*keys)
+    rows = materialize(dealt.sortWithinPartitions(*keys).withColumn(at, F.monotonically_increasing_id()).drop(own), what)
+    rows = rows.withColumn(part, F.shiftright(at, 33))  # the position's upper bits number the range
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    runs = rows.groupBy(group, part).agg(F.min(at).alias("first"), size.alias("size"))
+    every = Window.partitionBy(group)
+    runs = runs.select(F.col(group).alias("run_group"), F.col(part).alias("run_part"), "first",
+                       (F.sum("size").over(every.orderBy(part)) - F.col("size")).alias("start"),
+                       F.sum("size").over(every).alias("total"))
+    runs = broadcast_if_small(materialize(runs, f"{what}-runs"))
+    within = (F.col(at) - F.col("first") if weight is None else
+              F.sum(weight).over(Window.partitionBy(group, part).orderBy(at)) - F.col(weight))
+    joined = rows.join(runs, (F.col(group) == F.col("run_group")) & (F.col(part) == F.col("run_part")))
+    return joined.withColumn("before", F.col("start") + within).drop(at, part, "run_group", "run_part", "first", "start")
