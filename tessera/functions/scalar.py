@@ -46,3 +46,10 @@ def round_half_away(col: Column | str, digits: int) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     k = float(10 ** digits)
     return F.signum(c) * F.floor(F.abs(c) * F.lit(k) + F.lit(0.5)) / F.lit(k)
+
+
+def once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row. Catalyst may put a column's expression where the
+    column is read, also inside a lambda, where it would be computed for every
+    element; a lambda's own variable can't be replaced so."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

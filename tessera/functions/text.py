@@ -162,10 +162,6 @@ def word_tokens_sql(expr: str) -> str:
     return f"regexp_extract_all(lower({expr}), {_sql_str(RE_WORD2)})"
 
 
-def stop_array(words=ENGLISH_STOP_WORDS) -> Column:
-    return F.array(*[F.lit(w) for w in words])
-
-
 def remove_stop(tokens: Column, words=ENGLISH_STOP_WORDS, min_len: int = 0) -> Column:
     """Drop stop words from a token array. ``isin`` over a literal list becomes a
     hash-set lookup (InSet) in the optimizer, not a scan of the list per token."""
@@ -236,3 +232,28 @@ def sentence_split_sql(expr: str) -> str:
     # RE2 has no look-behind: mark each boundary first, then split on the mark.
     marked = f"regexp_replace({expr}, '([.!?]){RE_WS_RUN}', '\\1' || chr(1), 'g')"
     return f"list_filter(string_split({marked}, chr(1)), lambda x: x <> '')"
+
+
+def ngrams_sql_expr(tokens: str, lo: int, hi: int) -> str:
+    """Spark SQL text of the n-grams of ``lo`` to ``hi`` tokens of an array, joined by spaces."""
+    parts = [tokens if n == 1 else
+             f"transform(filter(sequence(1, greatest(size({tokens}) - {n - 1}, 1)), i -> i + {n - 1} <= size({tokens})), "
+             f"i -> array_join(slice({tokens}, i, {n}), ' '))" for n in range(lo, hi + 1)]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
+
+
+def char_ngrams_sql_expr(text: str, lo: int, hi: int) -> str:
+    """Spark SQL text of all runs of ``lo`` to ``hi`` characters of a text: one pass of a look-ahead a
+    length (a substring a position would rescan the text from its start)."""
+    parts = [f"regexp_extract_all({text}, '(?s)(?=(.{{{n}}}))', 1)" for n in range(lo, hi + 1)]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
+
+
+def ngrams(tokens: Column, lo: int, hi: int) -> Column:
+    """The n-grams of ``lo`` to ``hi`` tokens; an array with fewer tokens has none of that size."""
+    def of(t: Column, n: int) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(t) - (n - 1), F.lit(1))), lambda i: i + (n - 1) <= F.size(t))
+        return t if n == 1 else F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
+
+    # the tokens are a lambda's variable, so they are computed once a row
+    return F.get(F.transform(F.array(tokens), lambda t: F.concat(*[of(t, n) for n in range(lo, hi + 1)])), F.lit(0))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 
 def fit_naive_bayes(train_counts: DataFrame, train_docs: DataFrame, alpha: float = 1.0) -> dict:
     """M2 fit. ``train_counts``: ``(doc, label, term, tf)``; ``train_docs``: ``(doc, label)``.
@@ -109,23 +111,29 @@ def shifted_idf(input_col: str = "tf", output_col: str = "tfidf"):
     return ShiftedIDF(inputCol=input_col, outputCol=output_col)
 
 
-def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: float = 1.0,
-               max_iter: int = 100, seed: int = 42):
+#: The original's limit; fits end earlier, when the loss no longer falls by ``TOLERANCE``.
+MAX_ITER, TOLERANCE = 1000, 1e-4
+
+
+def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: float = 1.0, penalty: str = "l2",
+               solver: str = "lbfgs", max_iter: int = MAX_ITER, tol: float = TOLERANCE, seed: int = 42):
     """M1/M2/M4/M5 estimators on ``features``/``label_idx``.
 
     Logistic regression and linear SVM map ``C`` to ``regParam = 1 / (C n)``
-    without standardisation, as an L2 penalty ``||w||^2 / 2C`` over a summed loss.
+    without standardisation: a penalty ``||w||^2 / 2C`` (or ``|w| / C`` for ``l1``) over a
+    summed loss. ``solver="liblinear"`` fits one class against the rest, as that solver does.
     """
     from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                            RandomForestClassifier)
     reg = 1.0 / (c * n_rows) if n_rows else 0.0
     if kind == "logreg":
-        return LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter,
-                                  regParam=reg, standardization=False)
+        lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=tol, regParam=reg,
+                                elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False)
+        return lr if solver == "lbfgs" else OneVsRest(classifier=lr, featuresCol="features", labelCol="label_idx")
     if kind == "nb":
         return NaiveBayes(featuresCol="features", labelCol="label_idx", smoothing=alpha, modelType="multinomial")
     if kind == "svm":
-        return OneVsRest(classifier=LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=max_iter,
+        return OneVsRest(classifier=LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=tol,
                                               regParam=reg, standardization=False),
                          featuresCol="features", labelCol="label_idx", parallelism=4)
     if kind == "forest":
@@ -134,12 +142,33 @@ def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: floa
     raise ValueError(f"unknown classifier {kind}")
 
 
+def analyzer(text_col: str, tokens_col: str = "tokens", kind: str = "word", ngrams: tuple[int, int] = (1, 1),
+             stop_words: list[str] | None = None):
+    """A stage that makes a text's terms: lower-cased words, without ``stop_words``, or characters
+    (white-space runs become one space), as n-grams of a range of lengths. It is an SQL
+    statement, so it is saved and loaded with its pipeline and needs no Python."""
+    from pyspark.ml.feature import SQLTransformer
+    low = f"lower(coalesce({text_col}, ''))"
+    if kind == "char":
+        base = f"regexp_replace({low}, '{X.RE_WS_RUN.replace(chr(92), chr(92) * 2)}', ' ')"
+        grams = X.char_ngrams_sql_expr("x", *ngrams)
+    else:
+        base = f"regexp_extract_all({low}, '{X.RE_WORD2.replace(chr(92), chr(92) * 2)}', 0)"
+        if stop_words:
+            quoted = ", ".join("'" + w.replace("'", chr(92) + "'") + "'" for w in stop_words)
+            base = f"filter({base}, w -> w NOT IN ({quoted}))"
+        grams = X.ngrams_sql_expr("x", *ngrams)
+    return SQLTransformer(statement=f"SELECT *, transform(array({base}), x -> {grams})[0] AS {tokens_col} FROM __THIS__")
+
+
 def text_pipeline(kind: str, tokens_col: str = "tokens", label_col: str = "label", n_rows: int | None = None,
-                  vocab_size: int = ALL_TERMS, min_df: float = 1.0, max_df: float | None = None, **kw):
-    """M6: StringIndexer → CountVectorizer → ×(idf + 1) → L2 Normalizer → classifier.
+                  vocab_size: int = ALL_TERMS, min_df: float = 1.0, max_df: float | None = None, text_col: str | None = None,
+                  analyze: str = "word", ngrams: tuple[int, int] = (1, 1), stop_words: list[str] | None = None, **kw):
+    """M6: StringIndexer → (analyzer) → CountVectorizer → ×(idf + 1) → L2 Normalizer → classifier.
 
-    A plain ``Pipeline`` so it can go into ``CrossValidator``. ``max_df`` is a fraction; leave
-    it unset for 1.0, since Spark reads values >= 1 as document counts.
+    A plain ``Pipeline`` so it can go into ``CrossValidator``. With ``text_col`` the terms are made
+    from the text by a stage of the pipeline (X3–X5), otherwise ``tokens_col`` holds them.
+    ``max_df`` is a fraction; leave it unset for 1.0, since Spark reads values >= 1 as counts.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import CountVectorizer, Normalizer, StringIndexer
@@ -149,7 +178,8 @@ def text_pipeline(kind: str, tokens_col: str = "tokens", label_col: str = "label
         cv.setMaxDF(max_df)
     norm = Normalizer(inputCol="tfidf", outputCol="features", p=2.0)
     est = classifier(kind, n_rows=n_rows, **kw)
-    return Pipeline(stages=[idx, cv, shifted_idf(), norm, est])
+    made = [analyzer(text_col, tokens_col, analyze, ngrams, stop_words)] if text_col else []
+    return Pipeline(stages=[idx, *made, cv, shifted_idf(), norm, est])
 
 
 def with_labels(model, predictions: DataFrame) -> DataFrame:

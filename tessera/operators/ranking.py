@@ -63,3 +63,25 @@ def hits_at_k(df: DataFrame, user: str, order: list[Column], k: int, relevant: C
                                   F.count_if(relevant).alias("n_rel"))
     hits = top_n(df, user, order, k, "rn").where(relevant).groupBy(user).agg(F.count(F.lit(1)).alias("n_hit"))
     return counts.join(hits, user, "left").fillna(0, ["n_hit"])
+
+
+def positions(df: DataFrame, group: str, order: list[Column], what: str, pos: str = "pos", total: str | None = None) -> DataFrame:
+    """``df`` with the number, from 0, of each row in its ``group`` by ``order`` (made total by the
+    order of the scan), and the group's size as ``total`` if named. Null groups are one group.
+
+    Unlike a window over the group, no task sorts a hot group: the rows are dealt by
+    ranges of (group, order), each range is sorted and written, and one row a (group,
+    range) carries the counts over.
+    """
+    keys = [F.col(group), *order, F.col("_own")]
+    dealt = df.withColumn("_own", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    rows = materialize(dealt.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).drop("_own"),
+                       what).withColumn("_part", F.shiftright("_at", 33))  # the upper bits number the range
+    runs = rows.groupBy(F.col(group).alias("_g"), F.col("_part").alias("_p")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    every = Window.partitionBy("_g")
+    runs = runs.select("_g", "_p", "_first", F.sum("_size").over(every).alias("_total"),
+                       (F.sum("_size").over(every.orderBy("_p")) - F.col("_size")).alias("_start"))
+    out = rows.join(runs, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+    return out.select(*df.columns, (F.col("_at") - F.col("_first") + F.col("_start")).alias(pos),
+                      *([F.col("_total").alias(total)] if total else []))

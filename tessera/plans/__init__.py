@@ -13,7 +13,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ("behaviour", "catalog", "ratings", "hybrid", "text", "evaluation",
+MODULES = ("behaviour", "catalog", "ratings", "hybrid", "text", "evaluation", "coldstart",
            "conversation", "summary", "models")
 
 

@@ -8,6 +8,7 @@ from ..functions.lexicon import AB_GROUPS
 from ..functions.scalar import md5_bucket, pick_by_index
 from ..functions.text import RE_WS_RUN, remove_stop, stop_list_sql, word_tokens
 from ..operators import profile, ranking, recommend, similarity, splits, tfidf
+from ..session import materialize
 from ..sources.tables import Tables, catalog, interactions
 from . import _sql as S
 from ..functions.scalar import round_half_away as rnd
@@ -123,9 +124,12 @@ SELECT user_id, item_id, round(value, 4) AS score, rank FROM feed"""
 def content_feed(inter, cat, n: int = 5, ref=None, users=None):
     """R9 with the content strategy for every known user: (user_id, item_id, value, rank)."""
     prof = profile.user_item_scores(inter, ref=ref, catalog=cat)
-    cs = recommend.content_scores(prof, recommend.content_features(cat))
+    prof = materialize(prof.select("user_id", "item_id", "score"), "feed-profile")
     users = inter.select("user_id").distinct() if users is None else users
-    return recommend.rank_feed(cs, cat.select("item_id"), prof.select("user_id", "item_id"), users, n=n)
+    features = materialize(recommend.content_features(cat), "feed-features")
+    items, sets = recommend.feature_sets(features)
+    scores = recommend.set_scores(prof, features, sets)
+    return recommend.rank_sets(scores, items, cat.select("item_id"), prof.select("user_id", "item_id"), users, n=n)
 
 
 @register("feed_content", FEED_SQL)

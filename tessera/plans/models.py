@@ -4,17 +4,21 @@ and by invariant tests."""
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.lexicon import AB_GROUPS
 from ..functions.scalar import md5_bucket, pick_by_index
 from ..functions.scalar import round_half_away as rnd
-from ..operators import classify, factor, profile, recommend, splits
+from ..operators import classify, factor, profile, recommend, search, splits
+from ..session import materialize
 from ..sources.tables import Tables, catalog, interactions, ratings
 from . import register
-from .evaluation import TEST_FRACTION, _source
+from .evaluation import LANG_SRC, QUALITY_SRC, TEST_FRACTION, _source
 from .ratings import _split
 
 
@@ -38,75 +42,153 @@ def _evaluate(model, test):
     return acc, f1
 
 
+def best_of(rows: list[tuple[str, float]]) -> int:
+    """The number of the first candidate with the highest value."""
+    return max(range(len(rows)), key=lambda i: (rows[i][1], -i))
+
+
 @register("classifier_comparison")
-def classifier_comparison(spark, sf):
-    """Fit logistic regression, naive Bayes and a linear SVM
-    on the same split; report accuracy and weighted F1; the first best model wins."""
+def classifier_comparison(spark, sf, save_to: str | None = None):
+    """Fit logistic regression, naive Bayes and a linear SVM on the same split;
+    report accuracy and weighted F1. The first best model wins, and is saved to ``save_to``."""
     data = _labelled(spark, sf).cache()
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
-    rows = []
-    for idx, kind in enumerate(("logreg", "nb", "svm")):
-        acc, f1 = _evaluate(_fit(kind, train), test)
-        rows.append((idx, kind, float(acc), float(f1)))
+    rows, models = [], []
+    for kind in ("logreg", "nb", "svm"):
+        models.append(_fit(kind, train))
+        rows.append((kind, *map(float, _evaluate(models[-1], test))))
     data.unpersist()
-    df = spark.createDataFrame(rows, "candidate long, model string, accuracy double, weighted_f1 double")
-    best = df.orderBy(F.desc("accuracy"), F.asc("candidate")).limit(1).select("candidate", F.lit(True).alias("best"))
-    return df.join(best, "candidate", "left").select(
-        "model", rnd("accuracy", 6).alias("accuracy"), rnd("weighted_f1", 6).alias("weighted_f1"),
-        F.coalesce("best", F.lit(False)).alias("best"))
+    best = best_of([(r[0], r[1]) for r in rows])
+    if save_to:
+        models[best].write().overwrite().save(save_to)
+    df = spark.createDataFrame([(*r, i == best) for i, r in enumerate(rows)], "model string, accuracy double, weighted_f1 double, best boolean")
+    return df.select("model", rnd("accuracy", 6).alias("accuracy"), rnd("weighted_f1", 6).alias("weighted_f1"), "best")
 
 
-def _folds(df, k: int = 5):
-    """Stratified fold column: rank within label in hash order, modulo k."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("label").orderBy(splits.hash_order("doc_id", 7), "doc_id")
-    return df.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+def _training(spark, sf, task: str):
+    """(doc_id, label, tokens, fold) of the training part of a task."""
+    data = _labelled(spark, sf, task).where(~F.col("is_test")).drop("is_test")
+    return materialize(search.assign_folds(materialize(data, "search-data")), "search-train")
 
 
-def _cross_validate(spark, sf, grid_fn, k: int = 5):
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
-    data = _labelled(spark, sf)
-    train = _folds(data.where(~F.col("is_test"))).cache()
-    n = train.count()
-    pipe = classify.text_pipeline("logreg", n_rows=n)
-    lr = pipe.getStages()[-1]
-    grid = grid_fn(lr, pipe)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=k, foldCol="fold", parallelism=4,
-                        evaluator=MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy"))
-    model = cv.fit(train)
-    rows = []
-    for i, (pm, m) in enumerate(zip(grid, model.avgMetrics)):
-        desc = ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name))
-        rows.append((i, desc, float(m)))
-    train.unpersist()
-    df = spark.createDataFrame(rows, "candidate long, params string, mean_accuracy double")
-    return df.select("candidate", "params", rnd("mean_accuracy", 6).alias("mean_accuracy"))
+# FIXED VALUES: the grids that are searched
+LR_GRID = [search.Candidate("logreg", grams, 1, max_df, (("c", c), ("solver", solver)))
+           for max_df in (0.85, 1.0) for grams in ((1, 1), (1, 2)) for c in (0.1, 1.0, 10.0) for solver in ("liblinear", "lbfgs")]
+LR_SPACE = [search.Candidate("logreg", grams, min_df, max_df, (("c", c), ("penalty", penalty), ("solver", "liblinear")))
+            for max_df in (0.75, 0.85, 0.9, 1.0) for min_df in (1, 2, 3) for grams in ((1, 1), (1, 2), (1, 3))
+            for c in (0.001, 0.01, 0.1, 1.0, 10.0, 100.0) for penalty in ("l1", "l2")]
+SVM_GRID = [search.Candidate("svm", grams, params=(("c", c),)) for grams in ((1, 1), (1, 2)) for c in (0.01, 0.1, 1.0, 10.0)]
+NB_ALPHAS, NB_GRAMS = [0.1, 0.5, 1.0, 2.0], ((1, 1), (1, 2))
+
+
+def _searched(spark, sf, candidates, task: str = "quality"):
+    found = search.cross_validate(_training(spark, sf, task), candidates)
+    best = best_of([(str(i), a) for i, a in found])
+    rows = [(i, candidates[i].describe(), float(a), j == best) for j, (i, a) in enumerate(found)]
+    df = spark.createDataFrame(rows, "candidate long, params string, mean_accuracy double, best boolean")
+    return df.select("candidate", "params", rnd("mean_accuracy", 6).alias("mean_accuracy"), "best")
 
 
 @register("grid_search")
 def grid_search(spark, sf):
-    """M8: exhaustive grid over regularisation and iterations, 5 stratified folds."""
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    def grid(lr, pipe):
-        return (ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1]).addGrid(lr.maxIter, [50, 100])
-                .build())
-    return _cross_validate(spark, sf, grid)
+    """M8: all 24 settings of vectoriser and logistic regression, 5 stratified folds."""
+    return _searched(spark, sf, LR_GRID)
 
 
 @register("random_search")
-def random_search(spark, sf, draws: int = 4, seed: int = 42):
-    """M9: seeded draws without replacement from a larger grid, then 5-fold CV."""
-    import random
-
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    def grid(lr, pipe):
-        full = (ParamGridBuilder().addGrid(lr.regParam, [0.0001, 0.001, 0.01, 0.1, 1.0])
-                .addGrid(lr.elasticNetParam, [0.0, 0.5]).build())
-        return random.Random(seed).sample(full, draws)
-    return _cross_validate(spark, sf, grid)
+def random_search(spark, sf, draws: int = 20, seed: int = 42):
+    """M9: seeded draws without replacement from the larger space, 5 stratified folds."""
+    return _searched(spark, sf, random.Random(seed).sample(LR_SPACE, draws))
+
+
+@register("svm_grid")
+def svm_grid(spark, sf):
+    """M8 for the linear SVM: 8 settings, 5 stratified folds."""
+    return _searched(spark, sf, SVM_GRID)
+
+
+def _fold_sql(src: str) -> str:
+    return f"""
+lab AS ({src}),
+docs AS (SELECT doc_id, label, text, (row_number() OVER (PARTITION BY label ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id) - 1) % 5 AS fold
+         FROM lab),
+folds AS (SELECT unnest(range(5)) AS m),
+tok AS (SELECT doc_id, {X.word_tokens_sql('text')} AS t FROM docs)"""
+
+
+def _grams_cte(hi: int) -> str:
+    grams = " || ".join("t" if n == 1 else f"list_transform(range(1, len(t) - {n - 2}), lambda i: array_to_string(t[i:i + {n - 1}], ' '))"
+                        for n in range(1, hi + 1))
+    return f"""
+tf AS (SELECT doc_id, label, fold, term, count(*) AS tf FROM (SELECT doc_id, unnest({grams}) AS term FROM tok) JOIN docs USING (doc_id)
+       GROUP BY ALL)"""
+
+
+def _cv_score_sql(x: str, s: str, alphas: list[float]) -> str:
+    """Folds' accuracies from ``x`` (doc_id, m, term, x) of test documents and ``s`` (m, label, term, s)."""
+    return f"""
+v AS (SELECT m, count(DISTINCT term) AS v FROM {s} GROUP BY m),
+tot AS (SELECT m, label, sum(s) AS total FROM {s} GROUP BY m, label),
+pri AS (SELECT m, label, ln(count(*) / any_value((SELECT count(*) FROM docs) - own)) AS log_prior FROM docs d
+        JOIN (SELECT m, count(*) AS own FROM folds JOIN docs ON fold = m GROUP BY m) f ON d.fold <> f.m GROUP BY m, label),
+xs AS (SELECT doc_id, sum(x) AS x_sum FROM {x} GROUP BY doc_id),
+al AS (SELECT unnest({alphas}) AS alpha),
+adj AS (SELECT x.doc_id, s.label, al.alpha, sum(x.x * (ln(s.s + al.alpha) - ln(al.alpha))) AS adj
+        FROM {x} x JOIN {s} s USING (m, term) CROSS JOIN al GROUP BY ALL),
+jll AS (SELECT d.doc_id, d.fold, d.label AS truth, p.label, al.alpha, round(log_prior
+          + coalesce(x_sum, 0) * (ln(al.alpha) - ln(coalesce(total, 0) + al.alpha * v)) + coalesce(adj, 0.0), 6) AS jll
+        FROM docs d JOIN pri p ON p.m = d.fold JOIN v ON v.m = d.fold CROSS JOIN al LEFT JOIN tot ON tot.m = p.m AND tot.label = p.label
+        LEFT JOIN xs USING (doc_id) LEFT JOIN adj ON adj.doc_id = d.doc_id AND adj.label = p.label AND adj.alpha = al.alpha),
+hit AS (SELECT doc_id, fold, alpha, arg_min(label, (-jll, label)) = any_value(truth) AS hit FROM jll GROUP BY ALL),
+acc AS (SELECT alpha, fold, avg(hit::INT) AS accuracy FROM hit GROUP BY alpha, fold)"""
+
+
+@register("cv_naive_bayes", f"""
+WITH {_fold_sql(LANG_SRC)}, {_grams_cte(1)},
+own AS (SELECT label, term, fold, sum(tf) AS c FROM tf GROUP BY ALL),
+st AS (SELECT m, label, term, sum(c) AS s FROM own JOIN folds ON fold <> m GROUP BY ALL),
+x AS (SELECT doc_id, fold AS m, term, tf AS x FROM tf WHERE (fold, term) IN (SELECT (m, term) FROM st)),
+{_cv_score_sql('x', 'st', NB_ALPHAS)}
+SELECT alpha, fold, round(accuracy, 6) AS accuracy FROM acc""")
+def cv_naive_bayes(spark, sf):
+    """Five-fold scores of naive Bayes on term counts, each fold's model being total minus fold."""
+    src = _source(spark, sf, "lang").select("doc_id", "label", X.word_tokens("text").alias("tokens"))
+    docs = search.assign_folds(materialize(src, "cv-docs")).withColumnRenamed("doc_id", "doc")
+    counts = materialize(search.postings(docs, F.col("tokens")), "cv-postings")
+    out = search.cv_naive_bayes(counts, materialize(docs.select("doc", "label", "fold"), "cv-labels"), NB_ALPHAS)
+    return out.select("alpha", F.col("fold").cast("bigint").alias("fold"), rnd("accuracy", 6).alias("accuracy"))
+
+
+def _nb_grid_part(hi: int) -> str:
+    return f"""
+SELECT * FROM (WITH {_grams_cte(hi)},
+df AS (SELECT m, term, count(*) AS df FROM tf JOIN folds ON fold <> m GROUP BY m, term),
+nd AS (SELECT m, count(*) AS n FROM docs JOIN folds ON fold <> m GROUP BY m),
+w0 AS (SELECT doc_id, label, fold, m, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM tf JOIN df USING (term) JOIN nd USING (m)),
+w AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id, m)) AS x FROM w0),
+st AS (SELECT m, label, term, sum(x) AS s FROM w WHERE fold <> m GROUP BY ALL),
+x AS (SELECT doc_id, m, term, x FROM w WHERE fold = m),
+{_cv_score_sql('x', 'st', NB_ALPHAS)}
+SELECT '1-{hi}' AS ngrams, alpha, avg(accuracy) AS a FROM acc GROUP BY alpha)"""
+
+
+@register("nb_grid", f"""
+WITH {_fold_sql(QUALITY_SRC)},
+every AS ({" UNION ALL ".join(_nb_grid_part(hi) for _, hi in NB_GRAMS)})
+SELECT ngrams, alpha, round(a, 6) AS mean_accuracy, row_number() OVER (ORDER BY round(a, 6) DESC, ngrams, alpha) AS rank FROM every""")
+def nb_grid(spark, sf):
+    """M8 for naive Bayes: n-gram ranges × smoothings, document frequencies per training fold."""
+    src = _source(spark, sf, "quality").select("doc_id", "label", X.word_tokens("text").alias("tokens"))
+    docs = materialize(search.assign_folds(materialize(src, "grid-docs")).withColumnRenamed("doc_id", "doc"), "grid-folds")
+    labels, parts = docs.select("doc", "label", "fold"), []
+    for lo, hi in NB_GRAMS:
+        counts = materialize(search.postings(docs, F.col("tokens"), lo, hi), "grid-postings")
+        part = search.cv_tfidf_naive_bayes(counts, labels, NB_ALPHAS)
+        parts.append(part.groupBy("alpha").agg(rnd(F.avg("accuracy"), 6).alias("mean_accuracy"))
+                     .select(F.lit(f"{lo}-{hi}").alias("ngrams"), "alpha", "mean_accuracy"))
+    every = materialize(parts[0].unionByName(parts[1]), "grid-scores")
+    rank = F.row_number().over(Window.orderBy(F.desc("mean_accuracy"), "ngrams", "alpha"))  # one row a candidate
+    return every.withColumn("rank", rank.cast("bigint"))
 
 
 @register("batch_predictions")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.lexicon import POSITIVE_LABEL_NAMES
 from ..functions.scalar import round_half_away as rnd
+from ..functions.stem import stem_sql, stem_tokens
 from ..operators import tfidf
 from ..sources.tables import Tables
 from . import register
@@ -62,6 +63,24 @@ def preprocess_pipeline(spark, sf):
     return _docs(spark, sf).select("doc_id", F.array_join(toks, " ").alias("processed"))
 
 
+_STOPPED_SQL = X.remove_stop_sql(X.tokenize_alpha_sql(X.clean_sql("text", "pipeline")))
+
+
+@register("stem_tokens", f"""
+WITH t AS (SELECT doc_id, {_STOPPED_SQL} AS ts FROM documents),
+tok AS (SELECT doc_id, unnest(ts) AS token, unnest(range(len(ts))) AS pos FROM t),
+{stem_sql("tok", "token")}
+SELECT doc_id, count(*) AS n_tokens, string_agg(stem, ' ' ORDER BY pos) AS stemmed
+FROM tok JOIN stems ON word = token GROUP BY doc_id""")
+def stem_tokens_q(spark, sf):
+    """2.14: T1 → F1 → stop words → Porter stems, joined with spaces in token order."""
+    toks = X.remove_stop(X.tokenize_alpha(X.clean_text("text", "pipeline")))
+    rows = _docs(spark, sf).select("doc_id", F.posexplode(toks).alias("pos", "token"))
+    each = stem_tokens(rows, "token").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "stem"))).alias("s"))
+    return each.select("doc_id", F.size("s").cast("bigint").alias("n_tokens"),
+                       F.array_join(F.transform("s", lambda x: x["stem"]), " ").alias("stemmed"))
+
+
 @register("sentence_split", f"""
 SELECT doc_id, s.idx AS sent_idx, s.sentence FROM (
   SELECT doc_id, unnest(list_transform(ss, lambda x, i: {{'idx': i - 1, 'sentence': x}})) AS s

@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked of the file system that Spark uses for it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
@@ -32,10 +38,21 @@ def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
 
 
 def read_intents(spark: SparkSession, path: str) -> DataFrame:
-    """``{intent: {examples: [...], responses: [...]}}`` as rows (intent, examples, responses)."""
-    kind = "map<string, struct<examples: array<string>, responses: array<string>>>"
-    parsed = spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("m"))
-    return parsed.select(F.explode("m").alias("intent", "v")).select("intent", "v.examples", "v.responses")
+    """An intents map as rows (intent, examples, responses). A value is an object with
+    ``examples`` and ``responses``, or a plain list of examples (then no responses); both forms
+    may stand in one file. Anything else fails the read."""
+    each = (spark.read.text(path, wholetext=True)
+            .select(F.from_json("value", "map<string, string>", {"mode": "FAILFAST"}).alias("m"))
+            .select(F.explode("m").alias("intent", "v")))
+    full = F.from_json("v", "struct<examples: array<string>, responses: array<string>>")
+    plain = F.from_json("v", "array<string>")
+    none = F.array().cast("array<string>")
+    is_list = F.ltrim("v").startswith("[")
+    known = F.when(is_list, plain.isNotNull()).otherwise(full.getField("examples").isNotNull())
+    wrong = F.raise_error(F.concat(F.lit("neither a list nor an object with examples: "), F.coalesce("intent", F.lit("null"))))
+    return each.select("intent", F.when(~F.coalesce(known, F.lit(False)), wrong).when(is_list, plain)
+                       .otherwise(full.getField("examples")).alias("examples"),
+                       F.when(is_list, none).otherwise(F.coalesce(full.getField("responses"), none)).alias("responses"))
 
 
 def write_metrics(spark: SparkSession, metrics: dict[str, float], path: str) -> None:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators import chat
 from ..operators.profile import weight_of
 from ..sources import buckets
 from ..sources.files import path_exists, put_batch
@@ -136,6 +137,14 @@ def context_stream(turns: DataFrame, watermark: str = "1 day", ttl_hours: float
         stateStructType=CONTEXT_STATE, outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
+def intent_stream(turns: DataFrame, model, tokens, threshold: float = chat.MIN_CONFIDENCE, **kw) -> DataFrame:
+    """ST2 fed by predictions (C7, P14): ``turns`` (event_id, user_id, ts, text) of a stream are
+    classified by a fitted text pipeline, micro-batch by micro-batch, gated by
+    ``threshold``, and go through the context automaton."""
+    scored = chat.classify_turns(turns, model, tokens, threshold=threshold)
+    return context_stream(scored.select("event_id", "user_id", "ts", "lab", "conf"), **kw)
+
+
 def validate_ratings(ratings: DataFrame, catalog_items: DataFrame, lo: float = 1.0, hi: float = 5.0):
     """ST3: stream-static join to the catalogue plus the rating-range predicate.
 

@@ -58,6 +58,31 @@ def test_rank_feed_implicit_zeros_match_dense(spark):
     assert res == _feed_brute(scores, catalog, seen, users, 5)
 
 
+def test_set_feed_equals_item_feed(spark):
+    """Feeds by feature sets against the dense ranking: ties in a set, users who saw a whole set, no taste."""
+    rnd = random.Random(11)
+    feats = {i: {f"cat:{i % 3}"} | {f"tag:{rnd.randrange(4)}" for _ in range(rnd.randrange(3))} for i in range(60)}
+    feats[60], feats[61] = set(), set()  # items without features
+    scores_of = {u: {i: rnd.random() for i in rnd.sample(range(60), rnd.randrange(1, 25))} for u in range(8)}
+    scores_of[8] = {i: 1.0 for i in range(0, 60, 3)}
+    scores_of[9] = {}
+    fdf = spark.createDataFrame([(i, f) for i, fs in feats.items() for f in fs], "item_id long, feature string")
+    prof = spark.createDataFrame([(u, i, s) for u, v in scores_of.items() for i, s in v.items()], "user_id long, item_id long, score double")
+    cdf = spark.createDataFrame([(i,) for i in feats], "item_id long")
+    users = spark.createDataFrame([(u,) for u in scores_of], "user_id long")
+    cos = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5 if a and b else 0.0
+    dense = {(u, j): sum(s * cos(feats[i], feats[j]) for i, s in v.items()) for u, v in scores_of.items() for j in feats}
+    dense = {k: v for k, v in dense.items() if v > 0}
+    items, sets = recommend.feature_sets(fdf)
+    got = recommend.rank_sets(recommend.set_scores(prof, fdf, sets), items, cdf, prof, users, n=5)
+    res = {}
+    for r in got.orderBy("user_id", "rank").collect():
+        res.setdefault(r.user_id, []).append(r.item_id)
+    assert res == _feed_brute(dense, list(feats), {(u, i) for u, v in scores_of.items() for i in v}, list(scores_of), 5)
+    explicit = {(r.user_id, r.item_id): r.score for r in recommend.content_scores(prof, fdf).collect()}
+    assert explicit.keys() == dense.keys() and all(abs(explicit[k] - v) < 1e-9 for k, v in dense.items())
+
+
 def test_context_automaton_matches_loop(spark):
     rnd = random.Random(3)
     rows = []
