@@ -8,12 +8,17 @@ sample of labelled rows: ``rows_per_language`` rows of each language with the sm
 hashes, at most ``max_rows``. Prediction reads every text to its end.
 
 Calibration. A quarter of the sample is kept from training. On it the softmax is sharpened
-or softened by the temperature of least log loss, and the rejection bar is the smallest
-score at which the accepted rows have at most ``max_error`` wrong languages. If the
-model errs less often than that, the bar is 0 and only texts without a letter are rejected.
-
-Scale: the sample's texts reach the driver (a parameter's worth); the model, of a size
-that parameters fix, goes to the tasks with the function. Tasks code some millions of
+or softened by the temperature of least log loss. Labels may be wrong themselves: the share
+of disagreement among the better scored half of these rows is taken for label noise. The
+rejection bar is the smallest score at which the accepted rows disagree with their
+labels at most ``max_error`` (and two standard errors) more often than that; it is never
+so high that more than ``MAX_REJECTED`` of the held rows would go. If all rows pass, the bar
+is 0 and only texts without a letter are rejected.
+
+Scale: the sample reaches the driver as counts of hashed subwords, at most as many a row as
+there are buckets, never as texts; the model, of a size that parameters fix, goes to the
+tasks with the function. No language is ranked whole: ids are counted by language, and only
+those whose hash lies below the share that holds some times the rows wanted go on. Tasks code some millions of
 characters at a time, so memory follows the longest single text, not the batch.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0 and rejected; a
@@ -34,12 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ._batch import coded, slices, sums
-from ._shared import fresh
+from ._shared import fresh, materialize
 
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 500
 MAX_ROWS = 4000
 MAX_ERROR = 0.01
+MAX_REJECTED = 0.05
 BUCKETS_LOG2 = 16
 DIM = 16
 NGRAMS = (2, 3)
@@ -131,9 +137,27 @@ def _gathered(values: np.ndarray, codes: np.ndarray, ends: np.ndarray, step: int
     return out
 
 
-def train(texts: list[str], langs: list[str], max_error: float = MAX_ERROR, epochs: int = 8, rate: float = 2.0,
+Row = tuple[np.ndarray, np.ndarray, bool]
+
+
+def features(text: str) -> Row:
+    """(buckets, their shares of the text's subwords, whether the text has a letter)."""
+    vocabulary, codes, _ = coded([text], lambda t: t.lower().split())
+    some, count, letter = np.zeros(0, np.int64), np.zeros(0), False
+    numbers = np.bincount(codes, minlength=len(vocabulary))
+    for k in range(0, len(vocabulary), _WORDS):
+        words = vocabulary[k:k + _WORDS]
+        bucket, up_to = _subwords(words)
+        weight = np.repeat(numbers[k:k + _WORDS], np.diff(up_to, prepend=0))
+        some, at = np.unique(np.concatenate([some, bucket]), return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([count, weight]), minlength=len(some))
+        letter = letter or any(map(_has_letter, words))
+    return some, (count / max(count.sum(), 1)).astype(np.float32), letter
+
+
+def train(rows: list[Row], langs: list[str], max_error: float = MAX_ERROR, epochs: int = 8, rate: float = 2.0,
           seed: int = 0) -> Model:
-    """Fit on three quarters of the rows, calibrate on the rest."""
+    """Fit on three quarters of the rows of ``features``, calibrate on the rest."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(langs))
     model = Model(languages, rng.normal(0, 0.1, (1 << BUCKETS_LOG2, DIM)).astype(np.float32),
@@ -141,41 +165,33 @@ def train(texts: list[str], langs: list[str], max_error: float = MAX_ERROR, epoc
     if len(languages) < 2:
         return model
     model.layer[:] = rng.normal(0, 0.3, model.layer.shape)
-    target = np.array([languages.index(x) for x in langs])
-    held = np.arange(len(texts)) % 4 == 3
-    rows = []
-    for t in texts:
-        vocabulary, codes, _ = coded([t], lambda t: t.lower().split())
-        bucket, up_to = _subwords(vocabulary)
-        weight = np.repeat(np.bincount(codes, minlength=len(vocabulary)), np.diff(up_to, prepend=0))
-        some, at = np.unique(bucket, return_inverse=True)
-        count = np.bincount(at, weights=weight, minlength=len(some)) if len(some) else np.zeros(0)
-        rows.append((some, (count / max(count.sum(), 1)).astype(np.float32)))
+    number = {x: k for k, x in enumerate(languages)}
+    target = np.array([number[x] for x in langs])
+    held = np.arange(len(rows)) % 4 == 3
     learn = np.nonzero(~held)[0]
     batch = 16
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
         for k in range(0, len(learn), batch):
             pick = learn[(order := rng.permutation(len(learn)) if k == 0 else order)[k:k + batch]]
-            x = np.array([w @ model.embeddings[f] for f, w in (rows[i] for i in pick)], np.float32)
+            x = np.array([w @ model.embeddings[f] for f, w, _ in (rows[i] for i in pick)], np.float32)
             p = model.probabilities(x @ model.layer + model.bias)
             p[np.arange(len(pick)), target[pick]] -= 1
             back = p @ model.layer.T
             model.layer -= step / len(pick) * (x.T @ p)
             model.bias -= step / len(pick) * p.sum(0)
             for i, g in zip(pick, back, strict=True):
-                f, w = rows[i]
+                f, w, _ = rows[i]
                 model.embeddings[f] -= step * w[:, None] * g[None, :]
-    return _calibrated(model, [texts[i] for i in np.nonzero(held)[0]], target[held], max_error)
+    return _calibrated(model, [rows[i] for i in np.nonzero(held)[0]], target[held], max_error)
 
 
-def _calibrated(model: Model, texts: list[str], target: np.ndarray, max_error: float) -> Model:
-    if not len(target):
-        return model
-    logits, known = model.logits(texts)
-    logits, target = logits[known], target[known]
-    if not len(target):
+def _calibrated(model: Model, rows: list[Row], target: np.ndarray, max_error: float) -> Model:
+    known = np.array([letter for *_, letter in rows], bool)
+    if not known.any():
         return model
+    vectors = np.array([w @ model.embeddings[f] for f, w, letter in rows if letter])
+    logits, target = vectors @ model.layer + model.bias, target[known]
     at = np.arange(len(target))
 
     def loss(temperature: float) -> float:
@@ -186,28 +202,47 @@ def _calibrated(model: Model, texts: list[str], target: np.ndarray, max_error: f
     p = model.probabilities(logits)
     score, wrong = p.max(1), p.argmax(1) != target
     order = np.argsort(-score, kind="stable")
-    error = np.cumsum(wrong[order]) / np.arange(1, len(order) + 1)
-    fine = np.nonzero(error <= max_error)[0]
-    if len(fine) == len(order) or not len(fine):
-        model.bar = 0.0 if len(fine) else 1.0
-    elif fine[-1] + 1 < len(order):  # the accepted rows end where the error would exceed the bound for good
-        model.bar = float(score[order[fine[-1]]])
+    n = np.arange(1, len(order) + 1)
+    error = np.cumsum(wrong[order]) / n
+    noise = error[len(order) // 2]  # disagreement where the model is surest: wrong labels
+    bound = min(noise + max_error, 1.0)
+    fine = np.nonzero(error <= bound + 2 * np.sqrt(bound * (1 - bound) / n))[0]
+    last = max(fine[-1] if len(fine) else 0, len(order) - 1 - int(MAX_REJECTED * len(order)))
+    if last + 1 < len(order):  # the accepted rows end where the error would exceed the bound for good
+        model.bar = float(score[order[last]])
     return model
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_language: int = ROWS_PER_LANGUAGE,
-           max_rows: int = MAX_ROWS) -> tuple[list[str], list[str]]:
-    """(texts, languages) of the sample, in the order of the ids' hashes. Ids and languages
-    alone are ranked (each task keeps its first rows of a language); texts are read
-    for the chosen ids."""
-    by_hash = F.xxhash64(F.col(id_col).cast("string"))
-    rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(by_hash, id_col))
+           max_rows: int = MAX_ROWS) -> tuple[list[Row], list[str]]:
+    """(features, languages) of the sample, in the order of the ids' hashes. Ids and languages
+    alone are chosen from; texts are read for the chosen ids and stay in the tasks."""
     named = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = (named.select(id_col, lang_col).withColumn("rank", rank).where(F.col("rank") <= rows_per_language)
-              .orderBy("rank", lang_col).limit(max_rows).select(id_col).distinct())
-    rows = (named.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col, "left_semi")
-            .select(text_col, lang_col, by_hash.alias("h")).orderBy("h", text_col).limit(max_rows).collect())
-    return [r[0] for r in rows], [r[1] for r in rows]
+    ids = materialize(named.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).distinct()
+                      .withColumn("h", F.xxhash64(F.col("id").cast("string"))), "lang-ids")
+    size = ids.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    # hashes spread evenly, so some times the wanted share surely holds the rows wanted
+    share = F.least(F.lit(1.0), (8 * rows_per_language + 1000) / F.col("n"))
+    small = ids.join(F.broadcast(size.orderBy(F.desc("n"), "of").limit(max_rows)), F.col("lang") == F.col("of")).where(
+        F.shiftrightunsigned("h", 11) < share * (1 << 53))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    chosen = materialize(small.withColumn("rank", rank).where(F.col("rank") <= rows_per_language)
+                         .orderBy("rank", "lang").limit(max_rows).select("id").distinct(), "lang-chosen")
+    rows = (named.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col) == F.col("id"), "left_semi")
+            .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"),
+                    F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for k in range(len(b)):
+                some, share, letter = features(b["text"].iloc[k])
+                yield pd.DataFrame({"lang": [b["lang"].iloc[k]], "h": [b["h"].iloc[k]], "t": [b["t"].iloc[k]],
+                                    "some": [some], "share": [share], "letter": [letter]})
+
+    made = rows.mapInPandas(run, "lang string, h long, t long, some array<long>, share array<float>, letter boolean")
+    found = materialize(made, "lang-sample").orderBy("h", "t", "lang").limit(max_rows).toPandas()
+    return ([(np.asarray(r.some, np.int64), np.asarray(r.share, np.float32), bool(r.letter)) for r in found.itertuples()],
+            found["lang"].tolist())
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
