@@ -237,12 +237,19 @@ def _terms(sample: DataFrame, least: int = 6, min_log_odds: float = 1.5) -> Term
 
 def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
     """Learn from ``docs`` (doc, text) and ``labels`` (doc, label 0 or 1)."""
-    one = (labels.where("doc IS NOT NULL AND label IN (0, 1)").groupBy("doc").agg(F.max("label").alias("label"))
-           .withColumn("h", F.xxhash64(F.col("doc").cast("string"))))
+    one = materialize(labels.where("doc IS NOT NULL AND label IN (0, 1)").groupBy("doc").agg(F.max("label").alias("label"))
+                      .withColumn("h", F.xxhash64(F.col("doc").cast("string"))), "tox-labels")
+    totals = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}  # two rows
+    # hashes spread evenly: a little more than the wanted share of a class surely holds the rows wanted
+    share = {k: min(1.0, (1.2 * rows_per_class + 1000) / n) for k, n in totals.items()}
+    below = F.when(F.col("label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0)) * float(1 << 53)
     rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "doc"))
-    chosen = one.withColumn("rank", rank).where(F.col("rank") <= rows_per_class).select("doc", "label", "rank")
-    sample = materialize(docs.select("doc", F.coalesce("text", F.lit("")).alias("text"))
-                         .join(F.broadcast(chosen), "doc"), "tox-sample")
+    chosen = (one.where(F.shiftrightunsigned("h", 11) < below).withColumn("rank", rank)
+              .where(F.col("rank") <= rows_per_class).select("doc", "label", "rank"))
+    texts = docs.select("doc", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc")
+    # one row an id: of repeated ids the text that sorts first
+    sample = materialize(texts.groupBy("doc").agg(F.min(F.struct("text", "label", "rank")).alias("r")).select("doc", "r.*"),
+                         "tox-sample")
     terms = _terms(sample.where("rank % 2 = 0"))
     rest = sample.where("rank % 2 = 1").select("label", F.floor(F.col("rank") / 2).alias("turn"), "text")
 
@@ -253,7 +260,6 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
                                     "x": list(features(some, terms))})
 
     rows = rest.mapInPandas(run, "label int, turn long, x array<double>").toPandas()
-    totals = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
     taken = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     rate = totals.get(1, 0) / max(sum(totals.values()), 1)
     y = rows["label"].to_numpy(float)

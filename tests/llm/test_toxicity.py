@@ -14,7 +14,7 @@ def test_held_out_quality(spark):
     hit = held[held.toxic == 1].predicted.mean()
     false = held[held.toxic == 0].predicted.mean()
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
-    assert hit > 0.85 and false < 0.02 and got.score.between(0, 1).all()
+    assert hit > 0.9 and false < 0.02 and got.score.between(0, 1).all()
 
 
 def test_trees_learn_an_interaction_and_repeat():
@@ -55,3 +55,18 @@ def test_edge_cases(spark):
     assert one.score(["a"]).tolist() == [1.0]
     got = df.select("doc_id", tox.scored(df.text, nothing).alias("score")).collect()
     assert len(got) == len(rows)
+
+
+def test_clashing_columns_long_texts_and_empty_tables(spark):
+    bad, good = "you idiot lowei scum", "the sea and the hill"
+    rows = [(k, (bad if k % 2 else good) + f" w{k % 7}") for k in range(60)] + [(1, "other text"), (900, good + " x" * 400_000), (901, None)]
+    df = docs(spark, rows).selectExpr("*", "1 AS doc", "2 AS label", "3 AS rank", "4 AS h", "5 AS score")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(1, 0), (1, 1), (900, 0), (777, 1)], "doc long, label int")
+    few = tox.fit(df.selectExpr("doc_id AS doc", "text"), labels, rows_per_class=25)
+    got = {r.doc_id: r.s for r in df.where("doc_id > 1").select("doc_id", tox.scored(df.text, few).alias("s")).collect()}
+    assert len(got) == 60 and all(0 <= s <= 1 for s in got.values())
+    assert min(got[k] for k in range(3, 60, 2)) > max(got[k] for k in range(2, 60, 2))
+    none = tox.fit(docs(spark, []).selectExpr("doc_id AS doc", "text"), labels)
+    assert none.trees is None
+    empty = docs(spark, [])
+    assert empty.select(tox.scored(empty.text, few)).count() == 0
