@@ -1,9 +1,10 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 Items and documents are sets of five-word shingles (lower-cased runs of letters and
-digits; a text of one to four words has a single shingle, its whole sequence). Wanted is
-every (document, item) where the document holds at least ``share`` of the item's
-shingles, however long the document is.
+digits). An item of one to four words has a single shingle, its whole sequence, and is
+looked for among all runs of that many words of the documents. Wanted is every (document,
+item) where the document holds at least ``share`` of the item's shingles, however long the
+document is.
 
 Search. Items are partitioned by size (powers of two). A partition with at most ``u``
 shingles an item keeps as MinHash sketch the ``u - ceil(share * u) + 1`` smallest hashes
@@ -43,13 +44,22 @@ def tokens_of(text: Column) -> Column:
 
 
 def strings(tokens: str = "t") -> Column:
-    """The shingles of a token array: its windows, or the whole shorter sequence."""
+    """The shingles of an item's token array: its windows, or the whole shorter sequence."""
     t = F.col(tokens)
-    joined = lambda w: F.concat_ws(" ", *w)
-    return F.when(F.size(t) >= SIZE, windows(t, SIZE, joined)).when(
+    return F.when(F.size(t) >= SIZE, windows(t, SIZE, _joined)).when(
         F.size(t) > 0, F.array(F.array_join(t, " "))).otherwise(F.array().cast("array<string>"))
 
 
+def _joined(w: list[Column]) -> Column:
+    return F.concat_ws(" ", *w)
+
+
+def _short_lengths(shingles: DataFrame) -> list[int]:
+    """The numbers of words, below a full shingle's, that occur among the items' shingles."""
+    found = shingles.select(F.size(F.split("s", " ")).alias("words")).where(F.col("words") < SIZE).distinct()
+    return sorted(r["words"] for r in found.collect())
+
+
 def item_shingles(items: DataFrame, share: float = SHARE) -> DataFrame:
     """(item, v, n, need, s, h, probe) for each distinct shingle ``s`` of each item: its hash,
     whether the hash belongs to the item's sketch, the item's number ``n`` of shingles
@@ -70,13 +80,17 @@ def item_shingles(items: DataFrame, share: float = SHARE) -> DataFrame:
 def candidates(docs: DataFrame, shingles: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc, item, v): the document has a hash of the item's sketch and shingles enough."""
     probes = broadcast_if_small(shingles.where("probe").select("h", "item", "v", "need"), broadcast_rows)
-    t = F.col("t")
+    t, hashed = F.col("t"), lambda n: F.xxhash64(*[f"w{k}" for k in range(n)])
     each = (docs.select("doc", tokens_of(F.col("text")).alias("t"))
-            .select("doc", F.size(t).alias("size"), runs(t, SIZE).alias("runs"))
-            .select("doc", "size", F.inline_outer("runs"))
-            .where(F.col(f"w{SIZE - 1}").isNotNull() | ((F.col("size") < SIZE) & F.col("w0").isNotNull()))
-            .select("doc", F.greatest(F.col("size") - SIZE + 1, F.lit(1)).alias("size"),
-                    F.xxhash64(*[f"w{k}" for k in range(SIZE)]).alias("h")))
+            .select("doc", F.size(t).alias("size"), runs(t, SIZE).alias("runs")).select("doc", "size", F.inline_outer("runs")))
+    short = _short_lengths(shingles)
+    if not short:
+        each = (each.where(F.col(f"w{SIZE - 1}").isNotNull())
+                .select("doc", (F.col("size") - SIZE + 1).alias("size"), hashed(SIZE).alias("h")))
+    else:  # a run of words starts a full shingle and one of each short length, where words enough follow
+        starts = [F.when(F.col(f"w{n - 1}").isNotNull(), hashed(n)) for n in [*short, SIZE]]
+        each = (each.where("w0 IS NOT NULL").select("doc", F.greatest(F.col("size") - SIZE + 1, F.lit(1)).alias("size"),
+                                                    F.explode(F.array(*starts)).alias("h")).where("h IS NOT NULL"))
     return each.join(probes, "h").where("size >= need").select("doc", "item", "v").distinct()
 
 
@@ -89,8 +103,9 @@ def find(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str
     shingles = materialize(item_shingles(items, share), "bench-shingles")
     pairs = materialize(candidates(docs, shingles, broadcast_rows), "bench-candidates")
     some = docs.join(broadcast_if_small(pairs.select("doc").distinct(), broadcast_rows), "doc", "left_semi")
+    sets = F.concat(*[windows(F.col("t"), n, _joined) for n in [*_short_lengths(shingles), SIZE]])
     each = (some.select("doc", tokens_of(F.col("text")).alias("t"))
-            .select("doc", F.xxhash64("t").alias("w"), F.array_distinct(strings()).alias("ss"))
+            .select("doc", F.xxhash64("t").alias("w"), F.array_distinct(sets).alias("ss"))
             .select("doc", "w", F.explode_outer("ss").alias("s")).where("s IS NOT NULL"))
     known = broadcast_if_small(shingles.select("s", "item", "v", "n", "need"), broadcast_rows)
     shared = (each.join(known, "s").groupBy("doc", "w", "item", "v", "n", "need").agg(F.countDistinct("s").alias("m"))
@@ -113,15 +128,17 @@ def remove(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: s
 
 def sql(share: float = SHARE) -> str:
     """Exact containment of every pair as DuckDB SQL over ``documents`` and ``benchmark``."""
-    def shingled(table: str, key: str) -> str:
+    def cut(table: str, key: str) -> str:
         return f"""
-  SELECT DISTINCT {key}, CASE WHEN len(t) < {SIZE} THEN array_to_string(t, ' ')
-         ELSE array_to_string(t[i:i + {SIZE - 1}], ' ') END AS s
-  FROM (SELECT {key}, t, unnest(range(1, greatest(len(t) - {SIZE - 2}, 2))) AS i FROM (
-    SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
-    FROM {table} WHERE {key} IS NOT NULL AND text IS NOT NULL) WHERE len(t) > 0)"""
+  SELECT {key}, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
+  FROM {table} WHERE {key} IS NOT NULL AND text IS NOT NULL"""
     return f"""
-WITH d AS ({shingled("documents", "doc_id")}), b AS ({shingled("benchmark", "item_id")}),
+WITH dt AS ({cut("documents", "doc_id")}), bt AS ({cut("benchmark", "item_id")}),
+lengths AS (SELECT DISTINCT least(len(t), {SIZE}) AS k FROM bt WHERE len(t) > 0),
+b AS (SELECT DISTINCT item_id, array_to_string(t[i:i + k - 1], ' ') AS s FROM (
+        SELECT item_id, t, least(len(t), {SIZE}) AS k, unnest(range(1, len(t) - least(len(t), {SIZE}) + 2)) AS i FROM bt WHERE len(t) > 0)),
+d AS (SELECT DISTINCT doc_id, array_to_string(t[i:i + k - 1], ' ') AS s FROM (
+        SELECT doc_id, t, k, unnest(range(1, len(t) - k + 2)) AS i FROM dt JOIN lengths ON len(t) >= k)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
 SELECT doc_id, item_id, n_shingles::BIGINT AS n_shingles, count(*)::BIGINT AS n_shared,
        count(*)::DOUBLE / n_shingles AS containment

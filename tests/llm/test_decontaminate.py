@@ -7,18 +7,19 @@ from tessera.llm import decontaminate as dc
 from .util import ODD_TEXTS, docs, words
 
 
-def shingles(t):
+def shingles(t, size=5):
     w = re.findall(r"[^\W_]+", (t or "").lower())
-    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)}
 
 
 def brute(rows, items):
     out = {}
     for i, t in rows:
         for j, u in items:
-            s = shingles(u)
+            size = min(5, len(re.findall(r"[^\W_]+", (u or "").lower())))
+            s = shingles(u, size) if size else set()
             if i is not None and j is not None and s:
-                m = len(s & shingles(t))
+                m = len(s & shingles(t, size))
                 if m >= math.ceil(0.8 * len(s) - 1e-9) and m:
                     out[i, j] = max(out.get((i, j), 0), m / len(s))
     return out
@@ -49,6 +50,18 @@ def test_against_all_pairs(spark):
         assert len(got) > 20
 
 
+def test_short_items_inside_long_texts(spark):
+    rng = random.Random(9)
+    long = lambda n: " ".join(words(rng, n, 5000))
+    items = [(0, "the quick brown fox"), (1, "lone"), (2, "two words"), (3, "日本語の文"), (4, "quick brown fox jumps over")]
+    rows = [(0, f"{long(10_000)} the quick, brown FOX {long(10_000)}"), (1, "the quick brown fox"), (2, "Lone"), (3, f"x {long(5)} two words"),
+            (4, "日本語の文"), (5, "the quick brown"), (6, long(50)), (7, "words two lone two"), (8, "quick brown fox jumps over")]
+    for some in (items, items[:1], items[4:]):
+        got = dc.find(docs(spark, rows), spark.createDataFrame(some, "item_id long, text string")).collect()
+        assert {(r.doc_id, r.item_id): r.containment for r in got} == brute(rows, some)
+    assert brute(rows, items).keys() == {(0, 0), (1, 0), (2, 1), (3, 2), (4, 3), (7, 1), (8, 4)}
+
+
 def test_sketch_is_smaller_than_the_item_but_misses_nothing(spark):
     items = [(j, " ".join(f"i{j}x{k}" for k in range(n))) for j, n in enumerate(range(5, 60))]
     s = dc.item_shingles(spark.createDataFrame(items, "item long, text string"))
