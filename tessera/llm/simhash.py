@@ -70,13 +70,16 @@ def _one_fingerprint(text: str | None, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc, fp long) for each row of ``docs`` (doc, text)."""
+    """(doc, fp long) for each row of ``docs`` (doc, text), and its ``extra`` if there is one."""
+    more = [c for c in docs.columns if c == "extra"]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [_one_fingerprint(t.as_py(), size) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(fps, pa.int64())], ["doc", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(fps, pa.int64()), *[b.column(c) for c in more]],
+                                             ["doc", "fp", *more])
 
-    return docs.select("doc", "text").mapInArrow(run, f"doc {docs.schema['doc'].dataType.simpleString()}, fp long")
+    return docs.select("doc", "text", *more).mapInArrow(
+        run, f"doc {docs.schema['doc'].dataType.simpleString()}, fp long" + ", extra long" * len(more))
 
 
 def pivots() -> np.ndarray:
@@ -213,26 +216,43 @@ def connected(edges: DataFrame) -> DataFrame:
         now.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-               distance: int = DISTANCE, chunk: int = CHUNK, blocks: int = BLOCKS) -> DataFrame:
-    """(id, fingerprint hex, component_id) for every row of ``docs``."""
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, distance: int = DISTANCE,
+               chunk: int = CHUNK, blocks: int = BLOCKS, extra: Column | None = None) -> DataFrame:
+    """(id, fingerprint hex, component_id) for every row of ``docs``. With ``extra`` also that and
+    ``root``, the component's smallest fingerprint: an id with several texts may be the
+    smallest of several components."""
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), *([extra.alias("extra")] if extra is not None else []))
     fps = materialize(fingerprints(docs, size), "simhash")
     distinct = materialize(fps.where("doc IS NOT NULL").groupBy("fp").agg(F.min("doc").alias("rep")), "simhash-distinct")
     roots = connected(links(distinct.select("fp"), distance, chunk, blocks))
     rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
-    named = rooted.join(least, "root").select("fp", "component")
+    named = rooted.join(least, "root").select("fp", "component", "root")
     return fps.join(named, "fp", "left").select(
         F.col("doc").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        F.when(F.col("doc").isNotNull(), F.col("component")).alias("component_id"))
+        F.when(F.col("doc").isNotNull(), F.col("component")).alias("component_id"),
+        *(["root", "extra"] if extra is not None else []))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
           distance: int = DISTANCE) -> DataFrame:
-    """``docs``, all columns, without the documents whose component has a smaller id. Rows
-    with a null id stay."""
-    key = fresh("_copy", docs)
-    gone = components(docs, id_col, text_col, size, distance).where(F.col("component_id") < F.col(id_col))
-    gone = broadcast_if_small(materialize(gone.select(F.col(id_col).alias(key)).distinct(), "simhash-copies"))
-    return docs.join(gone, docs[id_col] == gone[key], "left_anti")
+    """``docs``, all columns, with one document of each component: that of the smallest id. What goes
+    is named by id and XXH64 of the text, so of an id with several texts only the copies go;
+    of rows with equal id and text one stays. Rows with a null id stay."""
+    key, text_hash = fresh("_copy", docs), fresh("_text", docs)
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    found = materialize(components(texts, "doc", "text", size, distance, extra=F.xxhash64("text"))
+                        .where("doc IS NOT NULL").select("doc", "component_id", "root", "extra"), "simhash-found")
+    each = found.groupBy("doc", "component_id", "root", "extra").agg(F.count("*").alias("n"))
+    # the text that stays is the smallest id's; of its texts in one component that of the smallest hash
+    first = each.where("doc = component_id").groupBy(F.col("root").alias("of")).agg(F.min("extra").alias("first"))
+    gone = each.join(first, F.col("root") == F.col("of")).where("doc <> component_id OR extra <> first")
+    named = lambda df, what: broadcast_if_small(materialize(df.select(
+        F.col("doc").alias(key), F.col("extra").alias(text_hash)), what))
+    same = lambda t: (docs[id_col] == t[key]) & (F.xxhash64(docs[text_col]) == t[text_hash])
+    gone, again = named(gone, "simhash-copies"), named(each.where("n > 1"), "simhash-repeats")
+    left = docs.join(gone, same(gone), "left_anti")
+    if again.limit(1).count() == 0:
+        return left
+    return left.join(again, same(again), "left_anti").unionByName(
+        left.join(again, same(again), "left_semi").dropDuplicates([id_col, text_col]))

@@ -128,6 +128,11 @@ def test_dedup_and_edge_cases(spark):
     assert left.columns == df.columns
     kept = sorted(str(r.doc_id) for r in left.collect())
     assert kept == sorted(["0", "5", "6", "7", "8", "9", "60", "None", "None"])
+    long = " ".join(f"w{k}" for k in range(400))
+    rows = [(1, long), (2, "alpha beta gamma delta epsilon zeta"), (2, long + " more"), (2, "alpha beta gamma delta epsilon zeta"),
+            (3, "theta iota kappa lambda mu nu"), (3, "xi omicron pi rho sigma tau"), (3, "xi omicron pi rho sigma tau")]
+    kept = sorted((r.doc_id, r.text) for r in simhash.dedup(docs(spark, rows)).collect())
+    assert kept == sorted({rows[0], rows[1], rows[4], rows[5]})  # of an id with several texts only the copies go
     assert got(docs(spark, [])) == [] and simhash.dedup(docs(spark, [])).count() == 0
 
 
