@@ -5,21 +5,23 @@ from tessera.llm import line_dedup
 from .util import ODD_TEXTS, docs, words
 
 
-def brute(rows, min_words):
+def one_edit(a, b, least):
+    if max(len(a), len(b)) < least or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) <= 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def brute(rows, least=line_dedup.MIN_UNITS):
     """The definition, pair by pair."""
     lines = [((i, k), line) for i, t in rows if t is not None and i is not None for k, line in enumerate(t.split("\n"))]
     lines = [(p, x) for p, x in lines if x.strip(" \t\n\x0b\x0c\r")]
 
     def near(a, b):
-        if a == b:
-            return True
-        a, b = a.split(" "), b.split(" ")
-        if min(len(a), len(b)) < min_words or abs(len(a) - len(b)) > 1:
-            return False
-        if len(a) == len(b):
-            return sum(x != y for x, y in zip(a, b)) <= 1
-        a, b = sorted((a, b), key=len)
-        return any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+        v, w = a.split(" "), b.split(" ")
+        return a == b or one_edit(v, w, least) or (max(len(v), len(w)) < least and one_edit(list(a), list(b), least))
     gone = {p for p, x in lines for q, y in lines if q < p and near(x, y)}
     return {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)
             for i, t in rows}
@@ -49,13 +51,26 @@ def corpus(seed, n):
 def test_against_all_pairs(spark):
     for seed in (1, 2):
         rows = corpus(seed, 40)
-        got = {r.doc_id: r.text for r in line_dedup.apply(docs(spark, rows), min_words=4).collect()}
-        assert got == brute(rows, 4)
+        for least in (line_dedup.MIN_UNITS, 4, 7):
+            got = {r.doc_id: r.text for r in line_dedup.apply(docs(spark, rows), min_units=least).collect()}
+            assert got == brute(rows, least)
+
+
+def test_short_lines_and_scripts_without_spaces(spark):
+    lines = ["a b c d e", "a b c d", "a b c", "a b c d f", "a b d e", "one two", "one twos", "one to", "日本語の文章です", "日本語の文です",
+             "日本語の文書です", "日本語", "ab", "abcd", "abcde", "abce", "abc", "😀😀😀😀x", "😀😀😀😀", "x 1 2 3 4 5 6 7 8", "x 1 2 3 4 5 6 7 8 9",
+             "Anheerat by in ofonthhahe er. Erin.", "Anheerat, by in ofonthhahe er. Erin."]
+    rng = random.Random(5)
+    for _ in range(3):
+        rng.shuffle(lines)
+        rows = [(i, "\n".join(lines[i::7])) for i in range(7)]
+        got = {r.doc_id: r.text for r in line_dedup.apply(docs(spark, rows)).collect()}
+        assert got == brute(rows) and got != dict(rows)
 
 
 def test_same_by_shuffle_as_by_broadcast(spark):
     rows = corpus(3, 30)
-    a = line_dedup.apply(docs(spark, rows), min_words=4, broadcast_rows=0).select("doc_id", "text").collect()
+    a = line_dedup.apply(docs(spark, rows), min_units=4, broadcast_rows=0).select("doc_id", "text").collect()
     assert dict(map(tuple, a)) == brute(rows, 4)
 
 

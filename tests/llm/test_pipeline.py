@@ -34,7 +34,7 @@ def test_every_stage_against_brute_force(spark, tmp_path):
         if name == "language_id":
             want = [(i, t) for i, t in before if t and any(map(str.isalpha, t))]
         elif name == "line_dedup":
-            named = cut(before, 10)
+            named = cut(before)
             want = [(i, t if i is None else named[i]) for i, t in before]
             assert all(r.n_chars == len(r.text) for r in now.collect())
         elif name == "simhash_near_dedup":
