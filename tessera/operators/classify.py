@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import materialize
 
 
 def fit_naive_bayes(train_counts: DataFrame, train_docs: DataFrame, alpha: float = 1.0) -> dict:
@@ -23,15 +24,15 @@ def fit_naive_bayes(train_counts: DataFrame, train_docs: DataFrame, alpha: float
     """
     docs = train_docs.select("doc", "label")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    vocab = train_counts.select(F.count_distinct("term")).scalar()
-    ct = train_counts.groupBy("label", "term").agg(F.sum("tf").alias("count"))
+    ct = materialize(train_counts.groupBy("label", "term").agg(F.sum("tf").alias("count")), "nb-counts")  # read three times
+    vocab = ct.select(F.count_distinct("term")).scalar()
     tot = ct.groupBy("label").agg(F.sum("count").alias("total"))
     prior = docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
     classes = (prior.join(tot, "label", "left").fillna(0, ["total"])
                .select("label", F.log(F.col("n_c") / n_docs).alias("log_prior"),
                        F.log(F.lit(alpha) / (F.col("total") + F.lit(alpha) * vocab)).alias("base")))
     gain = ct.select("label", "term", (F.log(F.col("count") + F.lit(alpha)) - F.log(F.lit(alpha))).alias("gain"))
-    vocab_terms = train_counts.select("term").distinct()
+    vocab_terms = ct.select("term").distinct()
     return {"classes": classes, "gain": gain, "vocab": vocab_terms}
 
 
@@ -64,10 +65,9 @@ def add_softmax(df: DataFrame, key: str, label: str, score: str) -> DataFrame:
     mx = F.max(score).over(w)
     e = F.exp(F.col(score) - mx)
     out = df.withColumn("_e", e).withColumn("prob", F.col("_e") / F.sum("_e").over(w)).drop("_e")
-    rk = F.row_number().over(w.orderBy(F.desc(score), F.asc(label)))
-    out = out.withColumn("pred_rank", rk.cast("bigint"))
-    best = out.where(F.col("pred_rank") == 1).select(key, F.col(label).alias("pred"))
-    return out.join(best, key)
+    first = w.orderBy(F.desc(score), F.asc(label))
+    return (out.withColumn("pred_rank", F.row_number().over(first).cast("bigint"))
+            .withColumn("pred", F.first(label).over(first)))
 
 
 def doc_term_counts(docs: DataFrame, doc: str, tokens: Column, label: str | None = None) -> DataFrame:
@@ -116,12 +116,13 @@ MAX_ITER, TOLERANCE = 1000, 1e-4
 
 
 def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: float = 1.0, penalty: str = "l2",
-               solver: str = "lbfgs", max_iter: int = MAX_ITER, tol: float = TOLERANCE, seed: int = 42):
+               solver: str = "lbfgs", max_iter: int = MAX_ITER, tol: float = TOLERANCE, seed: int = 42, binary: bool = False):
     """M1/M2/M4/M5 estimators on ``features``/``label_idx``.
 
     Logistic regression and linear SVM map ``C`` to ``regParam = 1 / (C n)``
     without standardisation: a penalty ``||w||^2 / 2C`` (or ``|w| / C`` for ``l1``) over a
-    summed loss. ``solver="liblinear"`` fits one class against the rest, as that solver does.
+    summed loss. ``solver="liblinear"`` fits one class against the rest, as that solver does;
+    with ``binary`` labels that is one model, not two.
     """
     from pyspark.ml.classification import (LinearSVC, LogisticRegression, NaiveBayes, OneVsRest,
                                            RandomForestClassifier)
@@ -129,13 +130,12 @@ def classifier(kind: str, n_rows: int | None = None, c: float = 1.0, alpha: floa
     if kind == "logreg":
         lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=tol, regParam=reg,
                                 elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False)
-        return lr if solver == "lbfgs" else OneVsRest(classifier=lr, featuresCol="features", labelCol="label_idx")
+        return lr if binary or solver == "lbfgs" else OneVsRest(classifier=lr, featuresCol="features", labelCol="label_idx")
     if kind == "nb":
         return NaiveBayes(featuresCol="features", labelCol="label_idx", smoothing=alpha, modelType="multinomial")
     if kind == "svm":
-        return OneVsRest(classifier=LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=tol,
-                                              regParam=reg, standardization=False),
-                         featuresCol="features", labelCol="label_idx", parallelism=4)
+        svm = LinearSVC(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=tol, regParam=reg, standardization=False)
+        return svm if binary else OneVsRest(classifier=svm, featuresCol="features", labelCol="label_idx", parallelism=4)
     if kind == "forest":
         return RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=200,
                                       maxDepth=30, featureSubsetStrategy="sqrt", seed=seed)
@@ -187,3 +187,19 @@ def with_labels(model, predictions: DataFrame) -> DataFrame:
     from pyspark.ml.feature import IndexToString
     labels = model.stages[0].labels
     return IndexToString(inputCol="prediction", outputCol="pred_label", labels=labels).transform(predictions)
+
+
+def binary_terms(model, n: int = 20) -> list[tuple[str, int, str, float]]:
+    """(side, rank, term, coefficient) of the ``n`` terms that speak most for and against the second
+    label of a fitted binary text pipeline; ties go by term."""
+    import numpy as np
+    vocabulary = next(s.vocabulary for s in model.stages if hasattr(s, "vocabulary"))
+    coefficient = np.asarray(model.stages[-1].coefficients.toArray())
+    out = []
+    for side, sign in (("top", -1.0), ("bottom", 1.0)):
+        # the n-th value is found without a sort; all that tie with it are ordered by term
+        k = min(n, len(coefficient))
+        edge = np.partition(sign * coefficient, k - 1)[k - 1] if k else 0.0
+        some = sorted(np.flatnonzero(sign * coefficient <= edge).tolist(), key=lambda j: (sign * coefficient[j], vocabulary[j]))[:n]
+        out += [(side, r + 1, vocabulary[j], float(coefficient[j])) for r, j in enumerate(some)]
+    return out

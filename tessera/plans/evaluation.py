@@ -16,6 +16,7 @@ from ..functions.lexicon import POSITIVE_LABEL_NAMES
 from ..functions.scalar import round_half_away as rnd
 from ..operators import classify, splits
 from ..operators.ranking import running_sums
+from ..session import materialize
 from ..sources.tables import Tables
 from . import register
 
@@ -25,7 +26,7 @@ QUALITY_SRC = ("SELECT d.doc_id, d.text, CAST(l.quality AS VARCHAR) AS label "
                "FROM documents d JOIN labels l USING (doc_id)")
 
 
-def nb_sql(src: str) -> str:
+def nb_sql(src: str, scored: str = "WHERE is_test") -> str:
     """CTEs: split, cls, probs(doc_id, truth, label, prob), pred(doc_id, truth, pred, prob)."""
     return f"""
 src AS ({src}),
@@ -42,7 +43,7 @@ pri AS (SELECT label, count(*) AS n_c FROM split WHERE NOT is_test GROUP BY labe
 cls AS (SELECT p.label, ln(p.n_c / (SELECT count(*) FROM split WHERE NOT is_test)) AS log_prior,
                ln(1.0 / (coalesce(t.total, 0) + 1.0 * (SELECT v FROM vsz))) AS base
         FROM pri p LEFT JOIN tot t USING (label)),
-test AS (SELECT doc_id, label AS truth FROM split WHERE is_test),
+test AS (SELECT doc_id, label AS truth FROM split {scored}),
 known AS (SELECT tc.doc_id, tc.term, tc.tf FROM tc JOIN test USING (doc_id)
           WHERE tc.term IN (SELECT term FROM train)),
 nin AS (SELECT doc_id, sum(tf) AS n_in FROM known GROUP BY doc_id),
@@ -65,13 +66,15 @@ def _source(spark, sf, task: str):
             .join(t.labels.select("doc_id", F.col("quality").cast("string").alias("label")), "doc_id"))
 
 
-def nb_predictions(spark, sf, task: str = "lang"):
-    """Per-class rows ``(doc_id, truth, label, jll, prob, pred, pred_rank)`` for the test split."""
+def nb_predictions(spark, sf, task: str = "lang", every_row: bool = False):
+    """Per-class rows ``(doc_id, truth, label, jll, prob, pred, pred_rank)`` for the test split, or for all
+    rows. Split and term counts are written once; fit and scoring read them."""
     src = _source(spark, sf, task)
-    sp = splits.stratified_split(src.select("doc_id", "label"), "label", "doc_id", TEST_FRACTION)
-    counts = classify.doc_term_counts(src, "doc_id", X.word_tokens("text"))
+    sp = materialize(splits.stratified_split(src.select("doc_id", "label"), "label", "doc_id", TEST_FRACTION), "nb-split")
+    counts = materialize(classify.doc_term_counts(src, "doc_id", X.word_tokens("text")), "nb-terms")
     train_docs = sp.where(~F.col("is_test")).select(F.col("doc_id").alias("doc"), "label")
-    test_docs = sp.where(F.col("is_test")).select(F.col("doc_id").alias("doc"), F.col("label").alias("truth"))
+    scored = sp if every_row else sp.where(F.col("is_test"))
+    test_docs = scored.select(F.col("doc_id").alias("doc"), F.col("label").alias("truth"))
     train_counts = counts.join(train_docs, "doc")
     model = classify.fit_naive_bayes(train_counts, train_docs)
     test_counts = counts.join(test_docs.select("doc"), "doc", "left_semi")

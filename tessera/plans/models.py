@@ -14,11 +14,11 @@ from ..functions import text as X
 from ..functions.lexicon import AB_GROUPS
 from ..functions.scalar import md5_bucket, pick_by_index
 from ..functions.scalar import round_half_away as rnd
-from ..operators import classify, factor, profile, recommend, search, splits
+from ..operators import classify, factor, profile, recommend, search, splits, svm
 from ..session import materialize
 from ..sources.tables import Tables, catalog, interactions, ratings
 from . import register
-from .evaluation import LANG_SRC, QUALITY_SRC, TEST_FRACTION, _source
+from .evaluation import LANG_SRC, QUALITY_SRC, TEST_FRACTION, _source, nb_predictions, nb_sql
 from .ratings import _split
 
 
@@ -202,16 +202,12 @@ def batch_predictions(spark, sf):
                        rnd(F.array_max(vector_to_array("probability")) * 100, 4).alias("confidence"))
 
 
-@register("class_probabilities")
+@register("class_probabilities", f"""
+WITH {nb_sql(LANG_SRC, "")}
+SELECT doc_id, label, round(prob, 6) AS probability FROM probs""")
 def class_probabilities(spark, sf):
-    """Every class of every input row with its probability, one row each."""
-    from pyspark.ml.functions import vector_to_array
-    data = _labelled(spark, sf)
-    model = _fit("nb", data.where(~F.col("is_test")))
-    labels = model.stages[0].labels
-    pred = model.transform(data)
-    return (pred.select("doc_id", F.posexplode(vector_to_array("probability")).alias("idx", "p"))
-            .select("doc_id", pick_by_index(labels, F.col("idx")).alias("label"), rnd("p", 6).alias("probability")))
+    """Every class of every input row with its naive-Bayes probability, one row each."""
+    return nb_predictions(spark, sf, every_row=True).select("doc_id", "label", rnd("prob", 6).alias("probability"))
 
 
 @register("top_terms_per_class")
@@ -232,24 +228,27 @@ def top_terms_per_class(spark, sf, k: int = 10):
     return df.select("label", "rank", "term", rnd("coefficient", 6).alias("coefficient"))
 
 
-@register("svm_platt")
-def svm_platt(spark, sf):
-    """M3: linear SVM margins turned into probabilities by a one-feature logistic
-    regression (Platt scaling), on the binary quality task."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+@register("binary_terms")
+def binary_terms_q(spark, sf, n: int = 20):
+    """The 20 terms with the largest and the smallest coefficients of a binary logistic model."""
     data = _labelled(spark, sf, "quality")
+    model = _fit("logreg", data.where(~F.col("is_test")))
+    df = spark.createDataFrame(classify.binary_terms(model, n), "side string, rank long, term string, coefficient double")
+    return df.select("side", "rank", "term", rnd("coefficient", 6).alias("coefficient"))
+
+
+@register("svm_platt")
+def svm_platt(spark, sf, task: str = "quality"):
+    """M3: probabilities of a linear SVM, fitted on margins of rows that each fold left out."""
+    from pyspark.ml import Pipeline
+    data = _labelled(spark, sf, task)
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
-    svm = classify.text_pipeline("svm", n_rows=train.count()).fit(train)
-    margin = lambda df: (svm.transform(df)
-                         .withColumn("margin", vector_to_array("rawPrediction")[1])
-                         .select("doc_id", "label_idx", "margin"))
-    asm = VectorAssembler(inputCols=["margin"], outputCol="m")
-    platt = LogisticRegression(featuresCol="m", labelCol="label_idx").fit(asm.transform(margin(train)))
-    out = platt.transform(asm.transform(margin(test)))
-    return out.select("doc_id", F.col("prediction").cast("int").alias("prediction"),
-                      rnd(vector_to_array("probability")[1], 6).alias("p_positive"))
+    prepare = Pipeline(stages=classify.text_pipeline("svm", n_rows=1).getStages()[:-1]).fit(train)
+    folded = search.assign_folds(prepare.transform(train).select("doc_id", "label", "label_idx", "features"))
+    model = svm.fit_pairwise(folded, len(prepare.stages[0].labels))
+    out = svm.probabilities(prepare.transform(test).select("doc_id", "features"), model)
+    best = F.array_position("probability", F.array_max("probability")).cast("int") - 1
+    return out.select("doc_id", best.alias("prediction"), rnd(F.get(F.col("probability"), F.lit(1)), 6).alias("p_positive"))
 
 
 @register("random_forest")
