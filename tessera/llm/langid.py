@@ -237,9 +237,9 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows_per_
             for k in range(len(b)):
                 some, share, letter = features(b["text"].iloc[k])
                 yield pd.DataFrame({"lang": [b["lang"].iloc[k]], "h": [b["h"].iloc[k]], "t": [b["t"].iloc[k]],
-                                    "some": [some], "share": [share], "letter": [letter]})
+                                    "some": [some.astype(np.int32)], "share": [share], "letter": [letter]})
 
-    made = rows.mapInPandas(run, "lang string, h long, t long, some array<long>, share array<float>, letter boolean")
+    made = rows.mapInPandas(run, "lang string, h long, t long, some array<int>, share array<float>, letter boolean")
     found = materialize(made, "lang-sample").orderBy("h", "t", "lang").limit(max_rows).toPandas()
     return ([(np.asarray(r.some, np.int64), np.asarray(r.share, np.float32), bool(r.letter)) for r in found.itertuples()],
             found["lang"].tolist())
