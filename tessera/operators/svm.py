@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .classify import classifier
-
-FOLDS = 5
+from .search import FOLDS, ROWS_PER_PARTITION
 
 
 @dataclass
@@ -42,7 +42,9 @@ def fit_pairwise(train: DataFrame, n_classes: int, c: float = 1.0, k: int = FOLD
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    train, machines = train.select("features", "label_idx", "fold").persist(), []
+    train, machines = materialize(train.select("features", "label_idx", "fold"), "svm-rows"), []
+    # every iteration of a fit is a job over these rows: no more partitions than rows warrant
+    train = train.coalesce(max(1, train.count() // ROWS_PER_PARTITION)).persist()
     margin = lambda model, df: with_margin(model, df, "margin").select("label_idx", "margin")
     for a, b in combinations(range(n_classes), 2):
         rows = (train.where(F.col("label_idx").isin(float(a), float(b)))
