@@ -89,9 +89,10 @@ def _units(line: Column, kind: Column) -> Column:
     return F.when(kind == WORDS, F.split(line, " ", -1)).otherwise(F.regexp_extract_all(line, F.lit("(?s)."), 0))
 
 
-def _halves(line: Column, min_units: int) -> Column:
-    """Hashes of the line's first and last h units, for h half its units and half its
-    units without one (the half of a partner that is one unit shorter)."""
+def _halves(line: Column, n: Column, chars: Column, min_units: int) -> Column:
+    """Hashes of the line's first and last h units, for h half its units and half its units without
+    one (the half of a partner that is one unit shorter). ``n`` and ``chars`` are its numbers of
+    words and characters, as columns: they are read often."""
     def halves(n: Column, cut, tag: int) -> Column:
         def half(h: Column) -> list[Column]:
             h = h.cast("int")
@@ -100,7 +101,6 @@ def _halves(line: Column, min_units: int) -> Column:
         own, less = half(F.floor(n / 2)), half(F.floor(n / 2) - 1)  # a partner one unit shorter has this half
         return F.when((n % 2 == 0) & (n >= min_units), F.array(*own, *less)).otherwise(F.array(*own))
 
-    n, chars = _n_words(line), F.length(line)
     of_words = halves(n, lambda h: [F.call_function("substring_index", line, F.lit(" "), x) for x in (h, -h)], 1)
     of_chars = halves(chars, lambda h: [F.left(line, h), F.right(line, h)], 3)
     return (F.when(n >= min_units, of_words).when(chars < min_units - 1, F.lit(None))
@@ -164,8 +164,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_un
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     lines = _lines(docs)
     key = ["key_a", "key_b"]
+    lines = lines.select(*PLACE, "text", _n_words(F.col("text")).alias("n"), F.length("text").alias("chars"))
     every = materialize(lines.select(*PLACE, F.xxhash64("text").alias("key_a"), F.xxhash64(F.lit("b"), "text").alias("key_b"),
-                                     _halves(F.col("text"), min_units).alias("halves")), "lines")
+                                     _halves(F.col("text"), F.col("n"), F.col("chars"), min_units).alias("halves")), "lines")
     distinct = materialize(every.groupBy(*key).agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("copies"), F.first("halves").alias("halves")),
         "distinct-lines")
