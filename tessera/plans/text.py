@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -121,23 +123,21 @@ def _ngrams_sql(t: str, n: int) -> str:
 _SENT_TOK_SQL = X.clean_tokens_sql("text", "sentiment")
 
 
-def _gram_counts(docs, grams: dict[int, "F.Column"], prefix: str):
-    """Per-document n-gram totals per n and the distinct count, via explode + grouping.
+def _each(body):
+    return lambda x: body(x)
 
-    Long documents make long n-gram arrays; exploding and grouping by document
-    keeps the distinct count a hash aggregate instead of an in-row array scan.
-    """
-    def tag(n):
-        return lambda x: F.struct(F.lit(n).alias("n"), x.alias("g"))
-    rows = docs.select("doc_id", F.explode(F.concat(*[F.transform(g, tag(n)) for n, g in grams.items()]))
-                       .alias("e"))
-    agg = rows.groupBy("doc_id").agg(
-        *[F.count_if(F.col("e.n") == n).alias(f"{prefix}{n}") for n in grams],
-        F.count_distinct("e.g").alias("n_distinct"))
-    out = docs.select("doc_id").join(agg, "doc_id", "left")
-    return out.select("doc_id", *[F.coalesce(F.col(f"{prefix}{n}"), F.lit(0)).cast("bigint").alias(f"{prefix}{n}")
-                                  for n in grams],
-                      F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))
+
+def _gram_counts(docs, grams: dict, prefix: str):
+    """Per-document n-gram totals per n and the distinct count. A document's terms are one array, whose
+    distinct ones are a hash set a row, so no n-gram is a row; repeated ids are counted together."""
+    source = docs.columns[-1]
+    own = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.collect_list(source).alias("_all"), F.count(F.lit(1)).alias("_rows"))
+    every = own.select("doc_id", "_rows", *[F.flatten(F.transform("_all", _each(g))).alias(f"_{n}") for n, g in grams.items()])
+    counts = every.select("doc_id", "_rows", *[F.size(f"_{n}").cast("bigint").alias(f"{prefix}{n}") for n in grams],
+                          F.size(F.array_distinct(F.concat(*[F.col(f"_{n}") for n in grams]))).cast("bigint").alias("n_distinct"))
+    names = [f"{prefix}{n}" for n in grams] + ["n_distinct"]
+    unnamed = docs.where(F.col("doc_id").isNull()).select("doc_id", *[F.lit(0).cast("bigint").alias(c) for c in names])
+    return counts.select("doc_id", *names, F.explode(F.array_repeat(F.lit(0), F.col("_rows").cast("int")))).drop("col").unionByName(unnamed)
 
 
 def _gram_sql(grams: dict[int, str], prefix: str, source: str) -> str:
@@ -154,8 +154,7 @@ FROM documents d LEFT JOIN e USING (doc_id) GROUP BY d.doc_id"""
 def word_ngrams(spark, sf):
     """Word n-grams for ngram_range (1, 3) on sentiment-cleaned tokens."""
     d = _docs(spark, sf).select("doc_id", X.clean_tokens("text", "sentiment").alias("t"))
-    t = F.col("t")
-    return _gram_counts(d, {1: t, 2: _ngrams(t, 2), 3: _ngrams(t, 3)}, "n_")
+    return _gram_counts(d, {1: lambda t: t, 2: lambda t: _ngrams(t, 2), 3: lambda t: _ngrams(t, 3)}, "n_")
 
 
 def _char_ngrams(c, n: int):
@@ -174,8 +173,7 @@ def _char_ngrams_sql(c: str, n: int) -> str:
 def char_ngrams(spark, sf):
     """Character 2-4-grams spanning spaces, on language-cleaned text."""
     d = _docs(spark, sf).select("doc_id", X.clean_text("text", "lang").alias("c"))
-    c = F.col("c")
-    return _gram_counts(d, {n: _char_ngrams(c, n) for n in (2, 3, 4)}, "n_char")
+    return _gram_counts(d, {n: partial(_char_ngrams, n=n) for n in (2, 3, 4)}, "n_char")
 
 
 _TFIDF_SQL = f"""
