@@ -186,7 +186,8 @@ w AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w
 
 
 def doc_tfidf(docs, n_docs=None):
-    tf = tfidf.term_counts(docs, "doc_id", X.word_tokens("text"))
+    # texts are dealt out once: a document's terms are then counted and its norm taken without a shuffle
+    tf = tfidf.term_counts(docs.select(F.col("doc_id").alias("doc"), "text").repartition("doc"), "doc", X.word_tokens("text"))
     n = docs.select(F.count(F.lit(1))).scalar() if n_docs is None else n_docs
     return tfidf.tfidf(tf, n_docs=n)
 
