@@ -16,8 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .classify import classifier
+from . import linear
 from .search import FOLDS, ROWS_PER_PARTITION
 
 
@@ -38,27 +37,27 @@ def with_margin(model, rows: DataFrame, name: str) -> DataFrame:
 
 
 def fit_pairwise(train: DataFrame, n_classes: int, c: float = 1.0, k: int = FOLDS) -> Pairwise:
-    """Fit on ``train`` (features, label_idx, fold): one machine and one logistic regression a pair."""
+    """Fit on ``train`` (features, label_idx, fold): one machine and one logistic regression a pair. The machines
+    of all pairs and folds are fitted together (``linear.fit``), which also gives the left-out margins."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
-
-    train, machines = materialize(train.select("features", "label_idx", "fold"), "svm-rows"), []
-    # every iteration of a fit is a job over these rows: no more partitions than rows warrant
-    train = train.coalesce(max(1, train.count() // ROWS_PER_PARTITION)).persist()
-    margin = lambda model, df: with_margin(model, df, "margin").select("label_idx", "margin")
+    spark, machines = train.sparkSession, []
+    x = linear.Rows(train, "label_idx", "fold")
+    label, fold = x.about["label_idx"].to_numpy(), x.about["fold"].to_numpy()
+    fits = []
     for a, b in combinations(range(n_classes), 2):
-        rows = (train.where(F.col("label_idx").isin(float(a), float(b)))
-                .withColumn("label_idx", (F.col("label_idx") == float(b)).cast("double")))
-        n, left_out = rows.count(), None
-        fit = lambda df: classifier("svm", n_rows=n, c=c, binary=True).fit(df)  # noqa: E731, B023
-        for f in range(k):
-            part = margin(fit(rows.where(F.col("fold") != f)), rows.where(F.col("fold") == f))
-            left_out = part if left_out is None else left_out.unionByName(part)
-        whole = fit(rows)
-        one = VectorAssembler(inputCols=["margin"], outputCol="m").transform(left_out)
-        platt = LogisticRegression(featuresCol="m", labelCol="label_idx").fit(one)
-        machines.append((a, b, whole, float(platt.coefficients[0]), float(platt.intercept)))
-    train.unpersist()
+        pair, target = (label == a) | (label == b), np.where(label == b, 1.0, -1.0)
+        reg = 1.0 / (c * max(1, int(pair.sum())))
+        fits.append((a, b, pair, target, [linear.Problem("hinge", target, pair & (fold != f), reg) for f in [*range(k), None]]))
+    linear.fit(x, [p for *_, problems in fits for p in problems])
+    for a, b, pair, target, (*parts, whole) in fits:
+        margin = np.select([fold == f for f in range(k)], [p.margins[0] + p.offset[0] for p in parts], np.nan)
+        left_out = pd.DataFrame({"label_idx": (target[pair] + 1) / 2, "margin": margin[pair]}).dropna()
+        one = VectorAssembler(inputCols=["margin"], outputCol="m").transform(spark.createDataFrame(left_out, "label_idx double, margin double"))
+        platt = LogisticRegression(featuresCol="m", labelCol="label_idx").fit(one.coalesce(max(1, len(left_out) // (20 * ROWS_PER_PARTITION))))
+        machine = linear.svm_model(x.coefficients(whole.a, x.width)[0], whole.offset[0], spark)
+        machines.append((a, b, machine, float(platt.coefficients[0]), float(platt.intercept)))
+    x.close()
     return Pairwise(n_classes, machines)
 
 
